@@ -11,7 +11,7 @@ text.
 
 from __future__ import annotations
 
-import re
+import os
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -23,11 +23,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Pieces whose ids a worker remembers before it starts anew.
-REMEMBERED = 300_000
-#: Ids and documents in an output batch, about.
-BATCH_IDS = 1_000_000
-BATCH_DOCS = 5_000
+#: Pieces whose ids a worker remembers before it starts anew, and characters of text that it encodes at once.
+REMEMBERED = 600_000
+CHUNK = 1 << 20
 
 SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
 _ARROW = pa.schema(
@@ -43,63 +41,156 @@ _WRITER = {
     "parquet.enable.dictionary#part_start": "false",
     "parquet.enable.dictionary#n_tokens": "false",
 }
-#: A single space between characters that aren't white space begins a pre-token of byte-level BPE, whatever follows.
-_CUT = re.compile(r"(?<=\S)(?= \S)")
+# Fixed value: ASCII characters that byte-level BPE keeps apart from the letters before them.
+_TAIL = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class Encoder:
-    """Byte-level BPE that asks the tokenizer once for each space-led piece and remembers its ids."""
+    """Byte-level BPE that asks the tokenizer once for each piece of text and remembers its ids.
 
-    def __init__(self, path: str):
+    Where white space stands alone, each space begins a pre-token that it shares with what follows and each newline is
+    one, so a text can be cut there and each piece encoded by itself; a piece of letters and trailing punctuation can
+    be cut between the two. Texts with other white space are encoded as they are.
+    """
+
+    def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, list[int]] = {}
-
-    def __call__(self, text: str) -> np.ndarray:
-        pieces = _CUT.split(text) if "  " in text else _spaced(text)
-        known = self.known
-        new = [p for p in set(pieces) if p not in known]
-        if new:
-            if len(known) + len(new) > REMEMBERED:
-                known = self.known = {}
-                new = list(set(pieces))
-            known.update(zip(new, (e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False))))
-        return np.fromiter(chain.from_iterable(map(known.__getitem__, pieces)), np.int32)
-
-
-def _spaced(text: str) -> list[str]:
-    """Cut before every space; right wherever no two spaces stand together."""
-    return text.replace(" ", "\0 ").split("\0") if "\0" not in text else _CUT.split(text)
+        self.end_id = end_id
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat = np.empty(1 << 16, np.int32)
+        self.ends = np.zeros(1 << 12, np.int64)  # of entry k: the end of its ids at k + 1
+        self.n = 0
+        self.add([[self.end_id]])
+
+    def add(self, entries: list[list[int]]) -> int:
+        """Store the ids of each entry; the number of the first."""
+        first, sizes = self.n, np.fromiter(map(len, entries), np.int64, len(entries))
+        ends = self.ends[first] + np.cumsum(sizes)
+        if first + len(entries) + 1 > len(self.ends):
+            self.ends = np.resize(self.ends, 2 * (first + len(entries) + 1))
+        if len(ends) and ends[-1] > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * int(ends[-1]))
+        self.ends[first + 1 : first + len(entries) + 1] = ends
+        if len(ends):
+            self.flat[self.ends[first] : ends[-1]] = np.fromiter(chain.from_iterable(entries), np.int32, int(sizes.sum()))
+        self.n += len(entries)
+        return first
+
+    def encoded(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, pieces: set[str]) -> None:
+        new = pieces.difference(self.known)
+        if len(self.known) + len(new) > REMEMBERED:
+            self.forget()
+            new = pieces
+        cut: dict[str, tuple[str, str]] = {}
+        ask = set()
+        for piece in new:
+            core = piece.rstrip(_TAIL)
+            if core and len(core) < len(piece) and core.lstrip(" ").isalpha():
+                cut[piece] = core, piece[len(core) :]
+                ask.update(cut[piece])
+            else:
+                ask.add(piece)
+        plain = list(ask.difference(self.known))
+        first = self.add(self.encoded(plain))
+        self.known.update(zip(plain, range(first, self.n)))
+        get = lambda k: self.flat[self.ends[k] : self.ends[k + 1]].tolist()
+        both = [get(self.known[a]) + get(self.known[b]) for a, b in cut.values()]
+        first = self.add(both)
+        self.known.update(zip(cut, range(first, self.n)))
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, each with the end id, and how many each has."""
+        pieces = [_pieces(text) for text in texts]
+        self.learn(set(chain.from_iterable(filter(None, pieces))))
+        n, order, held = self.n, [], []
+        for text, own in zip(texts, pieces):
+            if own is not None:
+                order.append(np.fromiter(map(self.known.__getitem__, own), np.int64, len(own)))
+            else:
+                order.append(np.array([self.add(self.encoded([text]))]))
+            order.append(_END)
+            held.append(len(order[-2]) + 1)
+        entries = np.concatenate(order)
+        begins = self.ends[entries]
+        sizes = self.ends[entries + 1] - begins
+        total = np.cumsum(sizes)
+        ids = self.flat[np.arange(total[-1]) + np.repeat(begins - (total - sizes), sizes)]
+        self.n = n  # what was encoded as it is isn't kept
+        return ids, np.diff(np.concatenate([[0], total[np.cumsum(held) - 1]]))
+
+
+_END = np.zeros(1, np.int64)
+
+
+def _plain(text: str) -> bool:
+    """If all white space in ``text`` is single spaces and newlines between other characters."""
+    return "\0" not in text and text.split() == text.replace("\n", " ").split(" ")
+
+
+def _pieces(text: str) -> list[str] | None:
+    return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0") if _plain(text) else None
+
+
+def _parts(text: str, size: int = CHUNK) -> list[str]:
+    """Cut a long text before single spaces; its parts have the ids that they have in it."""
+    parts, at = [], 0
+    while len(text) - at > 2 * size:
+        cut = text.find(" ", at + size)
+        while cut > 0 and (text[cut - 1].isspace() or text[cut + 1 : cut + 2].isspace() or cut + 1 == len(text)):
+            cut = text.find(" ", cut + 1)
+        if cut < 0:
+            break
+        parts.append(text[at:cut])
+        at = cut
+    return [*parts, text[at:]]
+
+
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
 def _encode(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, at = Encoder(path), TaskContext.get().partitionId(), 0
-        docs, starts, ids, held = [], [], [], 0
-
-        def flush() -> pa.RecordBatch:
-            counts = np.array([len(x) for x in ids], np.int64)
-            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
-            n = len(docs)
-            columns = [pa.array(docs, pa.int64()), pa.array(np.full(n, part, np.int32)), pa.array(starts, pa.int64()), pa.array(counts), lists]
+        encode = _ENCODERS.get((path, end_id)) or _ENCODERS.setdefault((path, end_id), Encoder(path, end_id))
+        part, at = TaskContext.get().partitionId(), 0
+
+        def flush(docs: list, ids: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+            nonlocal at
+            ends = np.cumsum(counts)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids))
+            columns = [pa.array(docs, pa.int64()), pa.array(np.full(len(docs), part, np.int32)), pa.array(at + ends - counts), pa.array(counts), lists]
+            at += int(ends[-1])
             return pa.RecordBatch.from_arrays(columns, schema=_ARROW)
 
+        docs, texts, held = [], [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                got = np.append(encode(text.as_py() or ""), np.int32(end_id))
-                docs.append(doc_id)
-                starts.append(at)
-                ids.append(got)
-                at += len(got)
-                held += len(got)
-                if held >= BATCH_IDS or len(docs) >= BATCH_DOCS:
-                    yield flush()
-                    docs, starts, ids, held = [], [], [], 0
+            for doc_id, text in zip(batch.column(0), batch.column(1)):
+                text = text.as_py() or ""
+                if len(text) > 2 * CHUNK:
+                    got = [encode([x])[0][:-1] for x in _parts(text)]
+                    ids = np.append(np.concatenate(got), np.int32(end_id))
+                    if docs:
+                        yield flush(docs, *encode(texts))
+                    docs, texts, held = [], [], 0
+                    yield flush([doc_id.as_py()], ids, np.array([len(ids)]))
+                    continue
+                docs.append(doc_id.as_py())
+                texts.append(text)
+                held += len(text)
+                if held >= CHUNK or len(docs) >= 10_000:
+                    yield flush(docs, *encode(texts))
+                    docs, texts, held = [], [], 0
         if docs:
-            yield flush()
+            yield flush(docs, *encode(texts))
 
     return run
 
