@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 #: Pieces whose ids a worker remembers before it starts anew, and characters of text that it encodes at once.
-REMEMBERED = 600_000
+REMEMBERED = 900_000
 CHUNK = 1 << 20
 
 SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
@@ -60,85 +60,106 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.end_id = end_id
+        vocabulary = self.tokenizer.get_vocab()
+        self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)  # bytes: a token's string has a character for each
+        self.lengths[list(vocabulary.values())] = [len(x) for x in vocabulary]
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known: dict[str, int] = {}  # a piece's row in pairs
+        self.pairs = np.zeros((1 << 12, 2), np.int32)  # the two entries that make up a piece
         self.flat = np.empty(1 << 16, np.int32)
         self.ends = np.zeros(1 << 12, np.int64)  # of entry k: the end of its ids at k + 1
         self.n = 0
-        self.add([[self.end_id]])
-
-    def add(self, entries: list[list[int]]) -> int:
-        """Store the ids of each entry; the number of the first."""
-        first, sizes = self.n, np.fromiter(map(len, entries), np.int64, len(entries))
-        ends = self.ends[first] + np.cumsum(sizes)
-        if first + len(entries) + 1 > len(self.ends):
-            self.ends = np.resize(self.ends, 2 * (first + len(entries) + 1))
-        if len(ends) and ends[-1] > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * int(ends[-1]))
-        self.ends[first + 1 : first + len(entries) + 1] = ends
-        if len(ends):
-            self.flat[self.ends[first] : ends[-1]] = np.fromiter(chain.from_iterable(entries), np.int32, int(sizes.sum()))
-        self.n += len(entries)
+        self.add(np.zeros(0, np.int32), np.zeros(1, np.int64))  # entry 0 is nothing
+        self.add(np.array([self.end_id], np.int32), np.ones(1, np.int64))  # entry 1 ends a document
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> int:
+        """Store entries of such sizes; the number of the first."""
+        first, used = self.n, int(self.ends[self.n])
+        if first + len(sizes) + 1 > len(self.ends):
+            self.ends = np.resize(self.ends, 2 * (first + len(sizes) + 1))
+        if used + len(ids) > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * (used + len(ids)))
+        self.ends[first + 1 : first + len(sizes) + 1] = used + np.cumsum(sizes)
+        self.flat[used : used + len(ids)] = ids
+        self.n += len(sizes)
         return first
 
-    def encoded(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter(chain.from_iterable(got), np.int32, int(sizes.sum())), sizes
+
+    def words(self, spaced: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for pieces of a space and letters: one text of them all, cut by the byte lengths of its ids."""
+        line = "".join(spaced)
+        ids = np.array(self.tokenizer.encode_batch_fast([line], add_special_tokens=False)[0].ids, np.int32)
+        raw = np.frombuffer(line.encode(), np.uint8)
+        ends = np.append(np.flatnonzero(raw == 32)[1:], len(raw))
+        cuts = np.searchsorted(np.cumsum(self.lengths[ids]), ends, "left") + 1
+        return ids, np.diff(cuts, prepend=0)
 
     def learn(self, pieces: set[str]) -> None:
         new = pieces.difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
             self.forget()
             new = pieces
-        cut: dict[str, tuple[str, str]] = {}
-        ask = set()
+        whole, cut, rest = [], [], []
         for piece in new:
             core = piece.rstrip(_TAIL)
-            if core and len(core) < len(piece) and core.lstrip(" ").isalpha():
-                cut[piece] = core, piece[len(core) :]
-                ask.update(cut[piece])
+            if core == piece or not core.lstrip(" ").isalpha():
+                whole.append(piece)
             else:
-                ask.add(piece)
-        plain = list(ask.difference(self.known))
-        first = self.add(self.encoded(plain))
-        self.known.update(zip(plain, range(first, self.n)))
-        get = lambda k: self.flat[self.ends[k] : self.ends[k + 1]].tolist()
-        both = [get(self.known[a]) + get(self.known[b]) for a, b in cut.values()]
-        first = self.add(both)
-        self.known.update(zip(cut, range(first, self.n)))
+                cut.append(piece)
+                rest.append((core, piece[len(core) :]))
+        parts = dict.fromkeys(chain(whole, chain.from_iterable(rest)))
+        spaced = [x for x in parts if x[:1] == " " and x[1:].isalpha() and x[1:2] != " "]
+        number: dict[str, int] = {}
+        for at in range(0, len(spaced), 20_000):
+            some = spaced[at : at + 20_000]
+            first = self.add(*self.words(some))
+            number.update(zip(some, range(first, self.n)))
+        others = [x for x in parts if x not in number]
+        first = self.add(*self.encoded(others))
+        number.update(zip(others, range(first, self.n)))
+        row, more = len(self.known), len(whole) + len(cut)
+        if row + more > len(self.pairs):
+            self.pairs = np.concatenate([self.pairs, np.zeros((row + 2 * more, 2), np.int32)])
+        self.pairs[row : row + len(whole), 0] = np.fromiter(map(number.__getitem__, whole), np.int32, len(whole))
+        self.pairs[row : row + len(whole), 1] = 0
+        self.pairs[row + len(whole) : row + more] = np.fromiter(map(number.__getitem__, chain.from_iterable(rest)), np.int32, 2 * len(cut)).reshape(-1, 2)
+        self.known.update(zip(chain(whole, cut), range(row, row + more)))
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, each with the end id, and how many each has."""
         pieces = [_pieces(text) for text in texts]
         self.learn(set(chain.from_iterable(filter(None, pieces))))
-        n, order, held = self.n, [], []
+        n, entries, held = self.n, [], []
         for text, own in zip(texts, pieces):
             if own is not None:
-                order.append(np.fromiter(map(self.known.__getitem__, own), np.int64, len(own)))
+                entries.append(self.pairs[np.fromiter(map(self.known.__getitem__, own), np.int64, len(own))].ravel())
             else:
-                order.append(np.array([self.add(self.encoded([text]))]))
-            order.append(_END)
-            held.append(len(order[-2]) + 1)
-        entries = np.concatenate(order)
+                entries.append(np.array([self.add(*self.encoded([text]))]))
+            entries.append(_END)
+            held.append(len(entries[-2]) + 1)
+        entries = np.concatenate(entries)
         begins = self.ends[entries]
         sizes = self.ends[entries + 1] - begins
         total = np.cumsum(sizes)
         ids = self.flat[np.arange(total[-1]) + np.repeat(begins - (total - sizes), sizes)]
         self.n = n  # what was encoded as it is isn't kept
-        return ids, np.diff(np.concatenate([[0], total[np.cumsum(held) - 1]]))
-
-
-_END = np.zeros(1, np.int64)
+        return ids, np.diff(total[np.cumsum(held) - 1], prepend=0)
 
 
-def _plain(text: str) -> bool:
-    """If all white space in ``text`` is single spaces and newlines between other characters."""
-    return "\0" not in text and text.split() == text.replace("\n", " ").split(" ")
+_END = np.ones(1, np.int32)
 
 
 def _pieces(text: str) -> list[str] | None:
-    return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0") if _plain(text) else None
+    """The pieces of a text of which all white space is single spaces and newlines between other characters."""
+    if "\0" in text or " ".join(text.split()) != text.replace("\n", " "):
+        return None
+    return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
 
 
 def _parts(text: str, size: int = CHUNK) -> list[str]:
