@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallgrass.llm import html_text, mixing, tokens, warc
+from tallgrass.llm.near_dups import near_duplicates
 from tallgrass.plans.durable import scratch
 from tallgrass.sources.tables import table
 
@@ -31,6 +32,10 @@ def op5_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op9_minhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), width=4)
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -40,6 +45,7 @@ QUERIES = {
     "op2_warc_bundles": op2_warc_bundles,
     "op4_token_files": op4_token_files,
     "op5_html_main_text": op5_html_main_text,
+    "op9_minhash_near_dups": op9_minhash_near_dups,
     "op10_mix_sources": op10_mix_sources,
 }
 
@@ -51,6 +57,20 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN top <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN top <> page_id THEN top END AS refers_to
 FROM m
+""",
+    "op9_minhash_near_dups": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text,''),'ABCDEFGHIJKLMNOPQRSTUVWXYZ','abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) >= 4 THEN list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i+3], ' '))
+      WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh FROM w),
+n AS (SELECT doc_id, len(sh)::BIGINT AS n, list_sort(sh) as sh FROM g),
+c AS (SELECT min(doc_id) AS id, sh, any_value(n) AS n FROM n WHERE n > 0 GROUP BY sh),
+e AS (SELECT id, n, unnest(sh) AS s FROM c),
+p AS (SELECT a.id AS a, b.id AS b FROM e a JOIN e b ON a.s = b.s AND a.id < b.id AND a.n * 100 >= 80 * b.n AND b.n * 100 >= 80 * a.n
+      GROUP BY a.id, b.id, a.n, b.n HAVING count(*) * 100 >= 80 * (a.n + b.n - count(*))),
+r AS (SELECT id AS v, id AS u FROM c UNION SELECT r.v, q.b FROM r JOIN (SELECT a, b FROM p UNION ALL SELECT b, a FROM p) q ON r.u = q.a),
+m AS (SELECT v, min(u) AS component_id FROM r GROUP BY v)
+SELECT n.doc_id, n.n AS n_shingles, CASE WHEN n.n > 0 THEN m.component_id ELSE n.doc_id END AS component_id, n.doc_id = coalesce(m.component_id, n.doc_id) AS kept
+FROM n LEFT JOIN c ON n.sh = c.sh LEFT JOIN m ON m.v = c.id
 """,
     "op10_mix_sources": r"""
 WITH d AS (
