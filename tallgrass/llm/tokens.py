@@ -179,47 +179,46 @@ def _parts(text: str, size: int = CHUNK) -> list[str]:
 _ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def _encode(path: str, end_id: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _ENCODERS.get((path, end_id)) or _ENCODERS.setdefault((path, end_id), Encoder(path, end_id))
-        part, at = TaskContext.get().partitionId(), 0
-
-        def flush(docs: list, ids: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-            nonlocal at
-            ends = np.cumsum(counts)
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids))
-            columns = [pa.array(docs, pa.int64()), pa.array(np.full(len(docs), part, np.int32)), pa.array(at + ends - counts), pa.array(counts), lists]
-            at += int(ends[-1])
-            return pa.RecordBatch.from_arrays(columns, schema=_ARROW)
-
-        docs, texts, held = [], [], 0
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                text = text.as_py() or ""
-                if len(text) > 2 * CHUNK:
-                    got = [encode([x])[0][:-1] for x in _parts(text)]
-                    ids = np.append(np.concatenate(got), np.int32(end_id))
-                    if docs:
-                        yield flush(docs, *encode(texts))
-                    docs, texts, held = [], [], 0
-                    yield flush([doc_id.as_py()], ids, np.array([len(ids)]))
-                    continue
-                docs.append(doc_id.as_py())
-                texts.append(text)
-                held += len(text)
-                if held >= CHUNK or len(docs) >= 10_000:
+def encode_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
+    """Batches of doc_id, text as batches of SCHEMA; a worker's encoder serves all its tasks."""
+    encode = _ENCODERS.get((path, end_id)) or _ENCODERS.setdefault((path, end_id), Encoder(path, end_id))
+    part, at = TaskContext.get().partitionId(), 0
+
+    def flush(docs: list, ids: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        nonlocal at
+        ends = np.cumsum(counts)
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids))
+        columns = [pa.array(docs, pa.int64()), pa.array(np.full(len(docs), part, np.int32)), pa.array(at + ends - counts), pa.array(counts), lists]
+        at += int(ends[-1])
+        return pa.RecordBatch.from_arrays(columns, schema=_ARROW)
+
+    docs, texts, held = [], [], 0
+    for batch in batches:
+        for doc_id, text in zip(batch.column(0), batch.column(1)):
+            text = text.as_py() or ""
+            if len(text) > 2 * CHUNK:
+                got = [encode([x])[0][:-1] for x in _parts(text)]
+                ids = np.append(np.concatenate(got), np.int32(end_id))
+                if docs:
                     yield flush(docs, *encode(texts))
-                    docs, texts, held = [], [], 0
-        if docs:
-            yield flush(docs, *encode(texts))
-
-    return run
+                docs, texts, held = [], [], 0
+                yield flush([doc_id.as_py()], ids, np.array([len(ids)]))
+                continue
+            docs.append(doc_id.as_py())
+            texts.append(text)
+            held += len(text)
+            if held >= CHUNK or len(docs) >= 10_000:
+                yield flush(docs, *encode(texts))
+                docs, texts, held = [], [], 0
+    if docs:
+        yield flush(docs, *encode(texts))
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2) -> None:
     """Encode every whole text of ``docs`` and write the ids below ``path`` in ascending doc_id order."""
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(_encode(tokenizer_path, end_id), SCHEMA).write.options(**_WRITER).parquet(path)
+    # Named in the module, encode_batches is not pickled with a copy of the encoders it keeps.
+    ordered.mapInArrow(lambda batches: encode_batches(batches, tokenizer_path, end_id), SCHEMA).write.options(**_WRITER).parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -232,7 +231,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
         .select(F.col("part").alias("of"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     )
     start = (F.col("base") + F.col("part_start")).alias("start")
-    return stored.join(parts, F.col("part") == F.col("of")).select("doc_id", start, "n_tokens", "ids")
+    # A row for each part file, however many documents these hold: small enough to send to all.
+    return stored.join(F.broadcast(parts), F.col("part") == F.col("of")).select("doc_id", start, "n_tokens", "ids")
 
 
 def with_crc(tokens: DataFrame) -> DataFrame:
