@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallgrass.llm import html_text, mixing, tokens, warc
+from tallgrass.llm.contamination import contained_items
 from tallgrass.llm.near_dups import near_duplicates
 from tallgrass.plans.durable import scratch
 from tallgrass.sources.tables import table
@@ -22,6 +23,10 @@ def op2_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_bundles(spark, folder, index).drop("target")
 
 
+def op3_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "tokens")
     tokens.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_file())
@@ -43,6 +48,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_warc_bundles": op2_warc_bundles,
+    "op3_benchmark_containment": op3_benchmark_containment,
     "op4_token_files": op4_token_files,
     "op5_html_main_text": op5_html_main_text,
     "op9_minhash_near_dups": op9_minhash_near_dups,
@@ -57,6 +63,16 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN top <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN top <> page_id THEN top END AS refers_to
 FROM m
+""",
+    "op3_benchmark_containment": r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS ws FROM documents WHERE text IS NOT NULL),
+d AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' '))) AS s FROM w),
+v AS (SELECT item_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS ws FROM benchmark WHERE text IS NOT NULL),
+b AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' '))) AS s FROM v),
+n AS (SELECT item_id, count(*) AS n_shingles FROM b GROUP BY item_id)
+SELECT d.doc_id, b.item_id, n.n_shingles, count(*) AS n_shared, count(*) / n.n_shingles AS containment
+FROM d JOIN b ON d.s = b.s JOIN n ON b.item_id = n.item_id
+GROUP BY d.doc_id, b.item_id, n.n_shingles HAVING count(*) * 100 >= n.n_shingles * 80
 """,
     "op9_minhash_near_dups": r"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text,''),'ABCDEFGHIJKLMNOPQRSTUVWXYZ','abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
