@@ -6,11 +6,15 @@ coordinate and value of its signature. A link needs ``matches`` collisions, so
 * classes with fewer collisions than that in all drop out, and with them the lists that no longer have two entries;
 * first, each list proposes its most shared class as the partner of all its others: one row per posting. Collisions
   of a pair are counted, pairs below the threshold fall, and the rest is confirmed on full sets;
-* then the lists that still hold several components are merged by their rarest entries only: ordered by how often
-  they occur, two signatures with ``matches`` collisions share one of their first ``coordinates - matches + 1``.
-  The longer lists are skipped, their collisions are looked up in the signatures. A pair is emitted only if its
-  components differ and if the shingles that each class shares with any other candidate suffice for the threshold,
-  an exact bound that classes with edits of their own do not pass. These pairs too are confirmed on full sets.
+* lists that still hold several components do the same once more, with the class that has the fewest shingles of its
+  own as the partner;
+* then what is left in lists of several components is joined by its rarest full shingles, as many as a partner at the
+  threshold cannot miss all; a pair is emitted only if its components differ and if the two places in the order of
+  rarity leave enough shingles for the threshold, an exact bound that copies with edits of their own do not pass. The
+  collisions of such a pair are looked up in its signatures before it is confirmed.
+
+Prefixes: ordered by how often entries occur, two signatures with ``matches`` collisions share one of their first
+``coordinates - matches + 1``; the longer lists are skipped and only looked up.
 
 Components of the confirmed links are found by distributed union-find.
 
@@ -113,6 +117,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, coordina
     collisions = F.aggregate(F.zip_with("marks_a", "marks_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
     sizes_fit = (F.col("n_a") * percent <= F.col("n_b") * 100) & (F.col("n_b") * percent <= F.col("n_a") * 100)
 
+    def of_several(entries: DataFrame) -> DataFrame:
+        """The lists that hold more than one component."""
+        return entries.groupBy("entry").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1").select("entry")
+
     def matched(pairs: DataFrame) -> DataFrame:
         return pairs.join(marks("a"), "a").join(marks("b"), "b").where(sizes_fit & (collisions >= matches)).select("a", "b")
 
@@ -123,20 +131,29 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, coordina
 
     # Merge what the stars left apart.
     apart = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = apart.groupBy("entry").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1").select("entry")
-    prefix = stash(_prefixes(apart, coordinates, matches).join(mixed, "entry"), "nd-prefix")
+    prefix = stash(_prefixes(apart, coordinates, matches).join(of_several(apart), "entry"), "nd-prefix")
     involved = prefix.select("node").distinct()
     open_sets = sets.join(involved, "node")
     single = open_sets.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("in"), F.min("node").alias("node")).where("in = 1")
     own = single.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
     ready = prefix.join(own, "node", "left").select("entry", "node", "n", "root", (F.col("n") - F.coalesce("own", F.lit(0))).alias("common"))
     ready = stash(ready, "nd-ready")
-    x, y = (ready.select("entry", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "n", "root", "common"))) for k in "ab")
-    bound = _similar(F.col("n_a"), F.col("n_b"), F.least("common_a", "common_b"), percent)
-    pairs = x.join(y, (x["entry"] == y["entry"]) & (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & sizes_fit & bound)
+
+    # Stars once more: now the class with the fewest shingles of its own is the partner, as an original is of its copies.
+    partner = ready.groupBy("entry").agg(F.max(F.struct(F.col("common") - F.col("n"), (-F.col("node")).alias("minus"))).alias("top"))
+    partner = partner.select("entry", (-F.col("top.minus")).alias("centre"))
+    stars = ready.join(partner, "entry").where("node != centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+    links = stash(first.unionByName(_confirmed(matched(stars), sets, percent)), "nd-links")
+    roots = components(links)
+    apart = ready.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    ready = stash(apart.join(of_several(apart), "entry"), "nd-apart")
+
+    rare = stash(_rarest(sets.join(ready.select("node", "root").distinct(), "node"), percent), "nd-rarest")
+    x, y = (rare.select("shingle", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "n", "root", "at"))) for k in "ab")
+    reach = _similar(F.col("n_a"), F.col("n_b"), F.least(F.col("n_a") - F.col("at_a") + 1, F.col("n_b") - F.col("at_b") + 1), percent)
+    pairs = x.join(y, (x["shingle"] == y["shingle"]) & (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & sizes_fit & reach)
     pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-    second = _confirmed(matched(pairs), sets, percent)
-    roots = components(first.unionByName(second))
+    roots = components(links.unionByName(_confirmed(matched(pairs), sets, percent)))
 
     named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("low").alias("component_id"))
@@ -156,6 +173,21 @@ def _prefixes(apart: DataFrame, coordinates: int, matches: int) -> DataFrame:
     return listed.withColumn("entries", F.slice("entries", F.lit(1), first)).select("node", "n", "root", F.explode("entries.entry").alias("entry"))
 
 
+def _rarest(sets: DataFrame, percent: int) -> DataFrame:
+    """Of each of ``sets`` (node, n, root, shingles) the rarest shingles, as many as cannot all be missing in a set that
+    reaches the threshold with it, with their place ``at`` in the order of rarity; those that no other set has are left out.
+    """
+    each = sets.select("node", "n", "root", F.explode("shingles").alias("shingle"))
+    often = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    listed = each.join(often, "shingle").groupBy("node", "n", "root").agg(F.array_sort(F.collect_list(F.struct("often", "shingle"))).alias("shared"))
+    own = (F.col("n") - F.size("shared")).cast("int")
+    prefix = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
+    first = listed.withColumn("own", own).withColumn("shared", F.slice("shared", F.lit(1), F.greatest(F.lit(0), prefix - own)))
+    return first.select("node", "n", "root", "own", F.posexplode("shared.shingle").alias("k", "shingle")).select(
+        "node", "n", "root", "shingle", (F.col("own") + F.col("k") + 1).alias("at")
+    )
+
+
 def _full_sets(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
     """node, n, shingles of ``classes``, computed anew from the text of each class's least document."""
     wanted = classes.select("low").distinct()
