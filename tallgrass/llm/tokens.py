@@ -17,15 +17,18 @@ from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Pieces whose ids a worker remembers before it starts anew, and characters of text that it encodes at once.
+from tallgrass.llm.shingles import chunks, utf8
+
+#: Pieces whose ids a worker remembers before it starts anew, and bytes of text that it encodes at once.
 REMEMBERED = 900_000
-CHUNK = 1 << 20
+CHUNK = 2 << 20
 
 SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
 _ARROW = pa.schema(
@@ -41,16 +44,22 @@ _WRITER = {
     "parquet.enable.dictionary#part_start": "false",
     "parquet.enable.dictionary#n_tokens": "false",
 }
-# Fixed value: ASCII characters that byte-level BPE keeps apart from the letters before them.
-_TAIL = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_CLASS = np.zeros(256, np.uint8)  # 1: ASCII letters, 2: ASCII punctuation, 4: a space or newline, 8: other ASCII white space
+_CLASS[[*range(65, 91), *range(97, 123)]] = 1
+_CLASS[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = 2
+_CLASS[[10, 32]] = 4
+_CLASS[[0, 9, 11, 12, 13]] = 8
+#: UTF-8 of white space beyond ASCII.
+_WIDE_SPACE = [x.encode() for x in "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"]
 
 
 class Encoder:
     """Byte-level BPE that asks the tokenizer once for each piece of text and remembers its ids.
 
     Where white space stands alone, each space begins a pre-token that it shares with what follows and each newline is
-    one, so a text can be cut there and each piece encoded by itself; a piece of letters and trailing punctuation can
-    be cut between the two. Texts with other white space are encoded as they are.
+    one, and punctuation after an ASCII letter begins another, so a text can be cut there and each piece encoded by
+    itself. Pieces of many texts are cut and told apart by 64-bit hashes at once (lengths are compared too), so that
+    Python handles the distinct ones only. Texts with other white space are encoded as they are.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -66,13 +75,11 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}  # a piece's row in pairs
-        self.pairs = np.zeros((1 << 12, 2), np.int32)  # the two entries that make up a piece
+        self.known: dict[bytes, int] = {}  # a piece's entry
         self.flat = np.empty(1 << 16, np.int32)
         self.ends = np.zeros(1 << 12, np.int64)  # of entry k: the end of its ids at k + 1
         self.n = 0
-        self.add(np.zeros(0, np.int32), np.zeros(1, np.int64))  # entry 0 is nothing
-        self.add(np.array([self.end_id], np.int32), np.ones(1, np.int64))  # entry 1 ends a document
+        self.add(np.array([self.end_id], np.int32), np.ones(1, np.int64))  # entry 0 ends a document
 
     def add(self, ids: np.ndarray, sizes: np.ndarray) -> int:
         """Store entries of such sizes; the number of the first."""
@@ -91,89 +98,111 @@ class Encoder:
         sizes = np.fromiter(map(len, got), np.int64, len(got))
         return np.fromiter(chain.from_iterable(got), np.int32, int(sizes.sum())), sizes
 
-    def words(self, spaced: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def words(self, spaced: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The same for pieces of a space and letters: one text of them all, cut by the byte lengths of its ids."""
-        line = "".join(spaced)
-        ids = np.array(self.tokenizer.encode_batch_fast([line], add_special_tokens=False)[0].ids, np.int32)
-        raw = np.frombuffer(line.encode(), np.uint8)
-        ends = np.append(np.flatnonzero(raw == 32)[1:], len(raw))
+        line = b"".join(spaced)
+        ids = np.array(self.tokenizer.encode_batch_fast([line.decode()], add_special_tokens=False)[0].ids, np.int32)
+        ends = np.append(np.flatnonzero(np.frombuffer(line, np.uint8) == 32)[1:], len(line))
         cuts = np.searchsorted(np.cumsum(self.lengths[ids]), ends, "left") + 1
         return ids, np.diff(cuts, prepend=0)
 
-    def learn(self, pieces: set[str]) -> None:
-        new = pieces.difference(self.known)
+    def learn(self, pieces: list[bytes]) -> np.ndarray:
+        """The entries of distinct pieces."""
+        new = [x for x in pieces if x not in self.known]
         if len(self.known) + len(new) > REMEMBERED:
             self.forget()
             new = pieces
-        whole, cut, rest = [], [], []
+        spaced, others = [], []
         for piece in new:
-            core = piece.rstrip(_TAIL)
-            if core == piece or not core.lstrip(" ").isalpha():
-                whole.append(piece)
-            else:
-                cut.append(piece)
-                rest.append((core, piece[len(core) :]))
-        parts = dict.fromkeys(chain(whole, chain.from_iterable(rest)))
-        spaced = [x for x in parts if x[:1] == " " and x[1:].isalpha() and x[1:2] != " "]
-        number: dict[str, int] = {}
+            (spaced if piece[:1] == b" " and len(piece) > 1 and piece[1:].decode().isalpha() else others).append(piece)
         for at in range(0, len(spaced), 20_000):
             some = spaced[at : at + 20_000]
             first = self.add(*self.words(some))
-            number.update(zip(some, range(first, self.n)))
-        others = [x for x in parts if x not in number]
-        first = self.add(*self.encoded(others))
-        number.update(zip(others, range(first, self.n)))
-        row, more = len(self.known), len(whole) + len(cut)
-        if row + more > len(self.pairs):
-            self.pairs = np.concatenate([self.pairs, np.zeros((row + 2 * more, 2), np.int32)])
-        self.pairs[row : row + len(whole), 0] = np.fromiter(map(number.__getitem__, whole), np.int32, len(whole))
-        self.pairs[row : row + len(whole), 1] = 0
-        self.pairs[row + len(whole) : row + more] = np.fromiter(map(number.__getitem__, chain.from_iterable(rest)), np.int32, 2 * len(cut)).reshape(-1, 2)
-        self.known.update(zip(chain(whole, cut), range(row, row + more)))
-
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts one after another, each with the end id, and how many each has."""
-        pieces = [_pieces(text) for text in texts]
-        self.learn(set(chain.from_iterable(filter(None, pieces))))
-        n, entries, held = self.n, [], []
-        for text, own in zip(texts, pieces):
-            if own is not None:
-                entries.append(self.pairs[np.fromiter(map(self.known.__getitem__, own), np.int64, len(own))].ravel())
-            else:
-                entries.append(np.array([self.add(*self.encoded([text]))]))
-            entries.append(_END)
-            held.append(len(entries[-2]) + 1)
-        entries = np.concatenate(entries)
+            self.known.update(zip(some, range(first, self.n)))
+        if others:
+            first = self.add(*self.encoded([x.decode() for x in others]))
+            self.known.update(zip(others, range(first, self.n)))
+        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (UTF-8, and where each begins and ends) one after another, each with the end id, and
+        how many each has."""
+        kind, n = _CLASS[data], len(offsets) - 1
+        odd = _odd_texts(data, offsets, kind)
+        first = np.zeros(len(data) + 1, bool)
+        first[offsets] = True
+        cut = first[:-1].copy()
+        cut |= kind == 4
+        cut[1:] |= (data[:-1] == 10) | (kind[1:] == 2) & (kind[:-1] == 1)
+        if odd.any():  # one piece each, whatever is in it
+            inside = np.repeat(odd, np.diff(offsets))
+            cut &= ~inside | first[:-1]
+        starts = np.flatnonzero(cut)
+        entries = np.zeros(len(starts), np.int64)
+        plain = np.ones(len(starts), bool)
+        of = np.searchsorted(starts, offsets)
+        plain[of[:-1][odd]] = False
+        ends = np.append(starts[1:], len(data))
+        if plain.any():
+            codes, at = pd.factorize(_piece_hashes(data, starts)[plain])[0], np.flatnonzero(plain)
+            some = np.empty(codes.max() + 1, np.int64)
+            some[codes[::-1]] = at[::-1]
+            if (ends[at] - starts[at] != (ends - starts)[some][codes]).any():
+                raise ValueError("two pieces of different lengths have one hash")
+            raw = data.tobytes()
+            entries[at] = self.learn([raw[a:b] for a, b in zip(starts[some].tolist(), ends[some].tolist())])[codes]
+        kept = self.n
+        for k in np.flatnonzero(odd):
+            entries[of[k]] = self.add(*self.encoded([data[offsets[k] : offsets[k + 1]].tobytes().decode()]))
+        entries = np.insert(entries, of[1:], 0)
         begins = self.ends[entries]
         sizes = self.ends[entries + 1] - begins
         total = np.cumsum(sizes)
         ids = self.flat[np.arange(total[-1]) + np.repeat(begins - (total - sizes), sizes)]
-        self.n = n  # what was encoded as it is isn't kept
-        return ids, np.diff(total[np.cumsum(held) - 1], prepend=0)
-
-
-_END = np.ones(1, np.int32)
-
-
-def _pieces(text: str) -> list[str] | None:
-    """The pieces of a text of which all white space is single spaces and newlines between other characters."""
-    if "\0" in text or " ".join(text.split()) != text.replace("\n", " "):
-        return None
-    return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
-
-
-def _parts(text: str, size: int = CHUNK) -> list[str]:
-    """Cut a long text before single spaces; its parts have the ids that they have in it."""
-    parts, at = [], 0
-    while len(text) - at > 2 * size:
-        cut = text.find(" ", at + size)
-        while cut > 0 and (text[cut - 1].isspace() or text[cut + 1 : cut + 2].isspace() or cut + 1 == len(text)):
-            cut = text.find(" ", cut + 1)
-        if cut < 0:
+        self.n = kept  # what was encoded as it is isn't kept
+        return ids, np.diff(total[of[1:] + np.arange(n)], prepend=0)
+
+
+def _odd_texts(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Texts whose white space isn't all single spaces and newlines between other characters."""
+    bad = kind == 8
+    space = kind == 4
+    bad[1:] |= space[1:] & space[:-1]
+    full = offsets[:-1] < offsets[1:]
+    bad[offsets[:-1][full]] |= space[offsets[:-1][full]]
+    bad[offsets[1:][full] - 1] |= space[offsets[1:][full] - 1]
+    raw, seen = data.tobytes(), np.bincount(data, minlength=256)
+    for wide in _WIDE_SPACE:
+        at = raw.find(wide) if seen[wide[0]] else -1
+        while at >= 0:
+            bad[at] = True
+            at = raw.find(wide, at + 1)
+    return np.diff(np.searchsorted(np.flatnonzero(bad), offsets)) > 0
+
+
+def _piece_hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    place = np.arange(len(data), dtype=np.int64) - np.repeat(starts, np.diff(np.append(starts, len(data))))
+    weight = _PLACE[place & 4095]
+    if place.max() > 4095:
+        weight = weight * _STEP[(place >> 12) & 4095]
+    return np.add.reduceat(_BYTE[data] * weight, starts)
+
+
+_BYTE, _PLACE, _STEP = np.random.default_rng(11).integers(0, 1 << 63, (3, 4096), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _parts(data: np.ndarray, size: int = CHUNK) -> list[int]:
+    """Where to cut a long text before single spaces; its parts have the ids that they have in it."""
+    cuts, at = [0], 0
+    simple = (data < 128) & (_CLASS[data] < 4)
+    good = np.flatnonzero((data[1:-1] == 32) & simple[:-2] & simple[2:]) + 1
+    while len(data) - at > 2 * size:
+        k = np.searchsorted(good, at + size)
+        if k == len(good):
             break
-        parts.append(text[at:cut])
-        at = cut
-    return [*parts, text[at:]]
+        at = int(good[k])
+        cuts.append(at)
+    return [*cuts, len(data)]
 
 
 _ENCODERS: dict[tuple[str, int], Encoder] = {}
@@ -192,26 +221,18 @@ def encode_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int) ->
         at += int(ends[-1])
         return pa.RecordBatch.from_arrays(columns, schema=_ARROW)
 
-    docs, texts, held = [], [], 0
     for batch in batches:
-        for doc_id, text in zip(batch.column(0), batch.column(1)):
-            text = text.as_py() or ""
-            if len(text) > 2 * CHUNK:
-                got = [encode([x])[0][:-1] for x in _parts(text)]
+        docs = batch.column(0).to_pylist()
+        data, offsets = utf8(batch.column(1))
+        for a, b in chunks(offsets, CHUNK):
+            own = data[offsets[a] : offsets[b]]
+            if b == a + 1 and len(own) > 2 * CHUNK:
+                cuts = _parts(own)
+                got = [encode(own[x:y], np.array([0, y - x]))[0][:-1] for x, y in zip(cuts[:-1], cuts[1:])]
                 ids = np.append(np.concatenate(got), np.int32(end_id))
-                if docs:
-                    yield flush(docs, *encode(texts))
-                docs, texts, held = [], [], 0
-                yield flush([doc_id.as_py()], ids, np.array([len(ids)]))
-                continue
-            docs.append(doc_id.as_py())
-            texts.append(text)
-            held += len(text)
-            if held >= CHUNK or len(docs) >= 10_000:
-                yield flush(docs, *encode(texts))
-                docs, texts, held = [], [], 0
-    if docs:
-        yield flush(docs, *encode(texts))
+                yield flush(docs[a:b], ids, np.array([len(ids)]))
+            else:
+                yield flush(docs[a:b], *encode(own, offsets[a : b + 1] - offsets[a]))
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2) -> None:
