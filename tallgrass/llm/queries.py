@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallgrass.llm import html_text, mixing, tokens, warc
+from tallgrass.llm import html_text, language, mixing, tokens, warc
 from tallgrass.llm.contamination import contained_items
 from tallgrass.llm.near_dups import near_duplicates
 from tallgrass.plans.durable import scratch
@@ -17,6 +18,12 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.learn(docs))
+    return found.withColumn("held_out", language.held_out(F.col("doc_id"))).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op2_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "warc")
     index = warc.write_bundles(table(spark, sf_dir, "pages"), folder)
@@ -47,6 +54,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_warc_bundles": op2_warc_bundles,
     "op3_benchmark_containment": op3_benchmark_containment,
     "op4_token_files": op4_token_files,
