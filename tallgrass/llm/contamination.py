@@ -20,15 +20,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallgrass.llm.joins import small, without
 from tallgrass.plans.durable import stash
 
-#: Rows of one or two numbers that are sent to all executors at most (some 40 MB); beyond that they are shuffled.
-BROADCAST_ROWS = 1_000_000
-
-
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
 
 def _words(df: DataFrame, key: str) -> DataFrame:
     """key and words (lower case, cut at ASCII white space) of every row that has text."""
@@ -78,14 +72,14 @@ def contained_items(docs: DataFrame, items: DataFrame, width: int = 5, percent:
     probes = _hashed(docs, "doc_id", width).select(
         F.col("key").alias("doc"), F.size("shingles").alias("n_doc"), F.explode_outer("shingles").alias("probe")
     )
-    hits = probes.join(_small(posted), F.col("probe") == F.col("shingle"))
+    hits = probes.join(small(posted), F.col("probe") == F.col("shingle"))
     largest = (F.max("n_doc").alias("n_doc"), F.first("fits").alias("fits"))
     collisions = hits.groupBy("doc", "item", "shingle").agg(F.first("weight").alias("weight"), *largest)
     found = collisions.groupBy("doc", "item").agg(F.sum("weight").alias("met"), *largest)
     found = found.where((F.col("met") >= _threshold(coordinates, percent)) & (F.col("n_doc") >= F.col("fits")))
     found = stash(found.select("doc", "item"), "bench-candidates")
 
-    near = _small(found.select("doc").distinct())
+    near = small(found.select("doc").distinct())
     doc_words = _spelled(docs.join(near, docs["doc_id"].eqNullSafe(F.col("doc")), "left_semi"), "doc_id", width)
     item_words = _spelled(items, "item_id", width).select(F.col("key").alias("its"), F.col("shingle").alias("its_shingle"))
     wanted = found.join(item_words, F.col("item").eqNullSafe(F.col("its"))).select("doc", "item", "its_shingle")
@@ -99,5 +93,5 @@ def contained_items(docs: DataFrame, items: DataFrame, width: int = 5, percent:
 
 def without_items(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that contain none of ``items``, all columns kept."""
-    dirty = _small(stash(contained_items(docs, items, **options).select(F.col("doc_id").alias("dirty_id")).distinct(), "bench-dirty"))
-    return docs.join(dirty, docs["doc_id"].eqNullSafe(F.col("dirty_id")), "left_anti")
+    dirty = contained_items(docs, items, **options).select("doc_id").distinct()
+    return without(docs, stash(dirty, "bench-dirty"))

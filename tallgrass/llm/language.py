@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tallgrass.llm.joins import without
 from tallgrass.llm.shingles import chunks, utf8
 from tallgrass.plans.durable import stash
 
@@ -229,7 +230,7 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
 def accepted(docs: DataFrame, net: Network | None, least: float = 0.5) -> DataFrame:
     """The rows of ``docs``, all columns kept, whose language is known with a score of at least ``least``.
 
-    Rows are judged by id: all rows of an id stay if one of them is accepted.
+    Rows are judged by id: all rows of an id go if one of them is rejected.
     """
-    good = stash(identify(docs, net).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(F.col("doc_id").alias("good_id")).distinct(), "lang-good")
-    return docs.join(good, docs["doc_id"].eqNullSafe(F.col("good_id")), "left_semi")
+    bad = identify(docs, net).where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)).select("doc_id").distinct()
+    return without(docs, stash(bad, "lang-rejected"))

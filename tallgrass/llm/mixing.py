@@ -73,35 +73,61 @@ def mix(
     added up first, so that only the documents of the one slot in which the target falls are put in order.
     """
     sizes = stash(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "mix-sizes")
+    mixed = _placed(sizes, _goals(sizes, weights, share, epochs, seed), seed)
+    return mixed.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def repeated(
+    docs: DataFrame,
+    weights: Sequence[float] = (3, 1, 2),
+    share: float = 1.5,
+    epochs: float = 2.0,
+    seed: str = "mix",
+) -> DataFrame:
+    """The rows of ``docs``, all columns kept, as often as ``mix`` repeats them; texts are not shuffled."""
+    narrow = lambda *more: docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), *more)
+    goals = _goals(stash(narrow(), "mix-sizes"), weights, share, epochs, seed)
+    placed = _placed(narrow(F.struct(*(docs[c] for c in docs.columns)).alias("row")), goals, seed).where("copies > 0")
+    return placed.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
+
+
+def _drawn(sizes: DataFrame, seed: str) -> DataFrame:
+    return sizes.withColumn("draw", seeded(F.col("doc_id"), seed)).withColumn("slot", F.shiftright("draw", 16))
+
+
+def _goals(sizes: DataFrame, weights: Sequence[float], share: float, epochs: float, seed: str) -> DataFrame:
+    """Per source: its target, whole repetitions, the words to spare for one more, and the slot in which these end."""
     goals = (
         source_targets(sizes, weights, share, epochs)
         .withColumn("whole", F.coalesce(F.floor(F.col("target") / F.nullif(F.col("source_size"), F.lit(0))), F.lit(0)))
         .withColumn("spare", F.col("target") - F.col("whole") * F.col("source_size"))
         .withColumnRenamed("source", "goal_source")
     )
-    drawn = sizes.withColumn("draw", seeded(F.col("doc_id"), seed)).withColumn("slot", F.shiftright("draw", 16))
     running = Window.partitionBy("source").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     slots = (
-        drawn.groupBy("source", "slot")
+        _drawn(sizes, seed)
+        .groupBy("source", "slot")
         .agg(F.sum("size").alias("slot_size"))
         .withColumn("slot_from", F.coalesce(F.sum("slot_size").over(running), F.lit(0)))
     )
-    same = lambda left: left["source"].eqNullSafe(F.col("goal_source"))
     cut = (
-        slots.join(goals, same(slots))
+        slots.join(goals, slots["source"].eqNullSafe(F.col("goal_source")))
         .where((F.col("slot_from") <= F.col("spare")) & (F.col("spare") < F.col("slot_from") + F.col("slot_size")))
-        .groupBy("goal_source", "source_size", "target", "whole", "spare")
+        .groupBy(F.col("goal_source").alias("cut_source"))
         .agg(F.min(F.struct("slot", "slot_from")).alias("cut"))
-        .select(F.col("goal_source").alias("cut_source"), F.col("cut.slot").alias("cut_slot"), F.col("cut.slot_from").alias("cut_from"))
+        .select("cut_source", F.col("cut.slot").alias("cut_slot"), F.col("cut.slot_from").alias("cut_from"))
     )
-    goals = stash(goals.join(cut, F.col("goal_source").eqNullSafe(F.col("cut_source")), "left"), "mix-goals")
-    placed = drawn.join(goals, same(drawn))
+    return stash(goals.join(cut, F.col("goal_source").eqNullSafe(F.col("cut_source")), "left"), "mix-goals")
+
+
+def _placed(rows: DataFrame, goals: DataFrame, seed: str) -> DataFrame:
+    """``rows`` (doc_id, source, size and more) with their source's goal and their number of copies."""
+    rows = _drawn(rows, seed)
+    placed = rows.join(goals, rows["source"].eqNullSafe(F.col("goal_source")))
     at_cut = F.col("slot").eqNullSafe(F.col("cut_slot"))
-    clear = placed.where(~at_cut).withColumn("more", (F.col("cut_slot").isNull() & (F.col("spare") > 0) | F.coalesce(F.col("slot") < F.col("cut_slot"), F.lit(False))).cast("long"))
+    all_more = F.col("cut_slot").isNull() & (F.col("spare") > 0)
+    clear = placed.where(~at_cut).withColumn("more", (all_more | F.coalesce(F.col("slot") < F.col("cut_slot"), F.lit(False))).cast("long"))
     ordered = Window.partitionBy("source").orderBy("draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     middle = F.col("cut_from") + F.coalesce(F.sum("size").over(ordered), F.lit(0)) + F.col("size") / 2
     near = placed.where(at_cut).withColumn("more", (middle <= F.col("spare")).cast("long"))
-    copies = F.col("whole") + F.col("more")
-    return clear.unionByName(near).select(
-        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken")
-    )
+    return clear.unionByName(near).withColumn("copies", F.col("whole") + F.col("more"))

@@ -35,12 +35,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallgrass.llm.components import components
+from tallgrass.llm.joins import small
 from tallgrass.llm.shingles import chunks, shingle_sets, signatures, utf8
 from tallgrass.plans.durable import stash
 
-#: Ids that are sent to all executors at most; beyond that the ids are joined by a shuffle.
-BROADCAST_IDS = 2_000_000
-
 _SET = "n long, set_a long, set_b long"
 
 
@@ -190,9 +188,7 @@ def _rarest(sets: DataFrame, percent: int) -> DataFrame:
 
 def _full_sets(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
     """node, n, shingles of ``classes``, computed anew from the text of each class's least document."""
-    wanted = classes.select("low").distinct()
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
+    wanted = small(classes.select("low").distinct())
     found = _sketches(docs.join(wanted, docs["doc_id"].eqNullSafe(F.col("low")), "left_semi"), width, None)
     found = found.select("doc_id", *(F.col(c).alias(f"f_{c}") for c in ("n", "set_a", "set_b")), F.col("marks").alias("shingles"))
     same = [F.col(c) == F.col(f"f_{c}") for c in ("n", "set_a", "set_b")] + [F.col("low").eqNullSafe(F.col("doc_id"))]

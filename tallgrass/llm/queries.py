@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallgrass.llm import html_text, language, mixing, tokens, warc
+from tallgrass.llm import graph_ann, html_text, language, mixing, tokens, warc
 from tallgrass.llm.contamination import contained_items
 from tallgrass.llm.near_dups import near_duplicates
 from tallgrass.plans.durable import scratch
@@ -44,6 +44,11 @@ def op5_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op6_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return graph_ann.search(graph_ann.build_index(vectors), vectors.where(F.col("vec_id") % 20 == 0))
+
+
 def op9_minhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=4)
 
@@ -59,6 +64,7 @@ QUERIES = {
     "op3_benchmark_containment": op3_benchmark_containment,
     "op4_token_files": op4_token_files,
     "op5_html_main_text": op5_html_main_text,
+    "op6_graph_neighbours": op6_graph_neighbours,
     "op9_minhash_near_dups": op9_minhash_near_dups,
     "op10_mix_sources": op10_mix_sources,
 }
