@@ -4,12 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallgrass.llm import tokens
+from tallgrass.llm import contamination, language, mixing, near_dups, tokens
+from tallgrass.llm.joins import without
 from tallgrass.llm.queries import tokenizer_file
-from tallgrass.plans.durable import scratch
+from tallgrass.plans.durable import scratch, stash
 from tallgrass.sources.tables import table
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is known; what has no text, no letter or no language with half the odds goes."""
+    return language.accepted(docs, language.learn(docs))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: that with the least id."""
+    gone = near_dups.near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    return without(docs, stash(gone, "pipeline-copies"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    return contamination.without_items(docs, table(spark, sf_dir, "benchmark"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them: repetitions are rows of their own."""
+    return mixing.repeated(docs)
+
+
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Encode what was kept, write the token files and return them as read back."""
     path = scratch(spark, "pipeline-tokens")
@@ -17,7 +39,14 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return tokens.read_tokens(spark, path)
 
 
-STAGES = [("token-ID / binary output", token_output)]
+STAGES = [
+    ("language ID", language_id),
+    ("MinHash near-dedup", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("mixing sources to target weights", source_mix),
+    ("token-ID / binary output", token_output),
+]
+#: Language scores and near-duplicate signatures have no SQL; the tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
