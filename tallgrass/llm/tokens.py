@@ -14,20 +14,20 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallgrass.llm.shingles import chunks, utf8
 
 #: Pieces whose ids a worker remembers before it starts anew, and bytes of text that it encodes at once.
-REMEMBERED = 900_000
+REMEMBERED = 700_000
 CHUNK = 2 << 20
 
 SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
@@ -106,23 +106,33 @@ class Encoder:
         cuts = np.searchsorted(np.cumsum(self.lengths[ids]), ends, "left") + 1
         return ids, np.diff(cuts, prepend=0)
 
-    def learn(self, pieces: list[bytes]) -> np.ndarray:
-        """The entries of distinct pieces."""
-        new = [x for x in pieces if x not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
+    def entries(self, pieces: list[bytes]) -> tuple[np.ndarray, int]:
+        """The entries of distinct pieces, and how many entries are to be kept once these have been read.
+
+        A full memory keeps what it has, for frequent pieces come early; it is emptied if it no longer knows half.
+        """
+        found = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        unknown = np.flatnonzero(found < 0).tolist()
+        full = len(self.known) + len(unknown) > REMEMBERED
+        if full and 2 * len(unknown) > len(pieces):
             self.forget()
-            new = pieces
+            unknown, full = list(range(len(pieces))), False
+        kept = self.n
         spaced, others = [], []
-        for piece in new:
-            (spaced if piece[:1] == b" " and len(piece) > 1 and piece[1:].decode().isalpha() else others).append(piece)
+        for k in unknown:
+            piece = pieces[k]
+            (spaced if piece[:1] == b" " and len(piece) > 1 and piece[1:].decode().isalpha() else others).append(k)
         for at in range(0, len(spaced), 20_000):
             some = spaced[at : at + 20_000]
-            first = self.add(*self.words(some))
-            self.known.update(zip(some, range(first, self.n)))
+            first = self.add(*self.words([pieces[k] for k in some]))
+            found[some] = np.arange(first, self.n)
         if others:
-            first = self.add(*self.encoded([x.decode() for x in others]))
-            self.known.update(zip(others, range(first, self.n)))
-        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+            first = self.add(*self.encoded([pieces[k].decode() for k in others]))
+            found[others] = np.arange(first, self.n)
+        if full:
+            return found, kept
+        self.known.update((pieces[k], e) for k, e in zip(unknown, found[unknown].tolist()))
+        return found, self.n
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts (UTF-8, and where each begins and ends) one after another, each with the end id, and
@@ -143,6 +153,7 @@ class Encoder:
         of = np.searchsorted(starts, offsets)
         plain[of[:-1][odd]] = False
         ends = np.append(starts[1:], len(data))
+        kept = self.n
         if plain.any():
             codes, at = pd.factorize(_piece_hashes(data, starts)[plain])[0], np.flatnonzero(plain)
             some = np.empty(codes.max() + 1, np.int64)
@@ -150,8 +161,8 @@ class Encoder:
             if (ends[at] - starts[at] != (ends - starts)[some][codes]).any():
                 raise ValueError("two pieces of different lengths have one hash")
             raw = data.tobytes()
-            entries[at] = self.learn([raw[a:b] for a, b in zip(starts[some].tolist(), ends[some].tolist())])[codes]
-        kept = self.n
+            own, kept = self.entries([raw[a:b] for a, b in zip(starts[some].tolist(), ends[some].tolist())])
+            entries[at] = own[codes]
         for k in np.flatnonzero(odd):
             entries[of[k]] = self.add(*self.encoded([data[offsets[k] : offsets[k + 1]].tobytes().decode()]))
         entries = np.insert(entries, of[1:], 0)
@@ -159,7 +170,7 @@ class Encoder:
         sizes = self.ends[entries + 1] - begins
         total = np.cumsum(sizes)
         ids = self.flat[np.arange(total[-1]) + np.repeat(begins - (total - sizes), sizes)]
-        self.n = kept  # what was encoded as it is isn't kept
+        self.n = kept
         return ids, np.diff(total[of[1:] + np.arange(n)], prepend=0)
 
 
@@ -181,14 +192,29 @@ def _odd_texts(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> np.nd
 
 
 def _piece_hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    place = np.arange(len(data), dtype=np.int64) - np.repeat(starts, np.diff(np.append(starts, len(data))))
-    weight = _PLACE[place & 4095]
-    if place.max() > 4095:
-        weight = weight * _STEP[(place >> 12) & 4095]
-    return np.add.reduceat(_BYTE[data] * weight, starts)
+    """By prefix sums: a piece's hash is the sum of its bytes' numbers times powers of a base, brought to one power."""
+    global _POWERS, _INVERSES
+    if len(data) >= len(_POWERS):
+        _POWERS, _INVERSES = (_powers(x, len(data) + (1 << 16)) for x in (_BASE, _INVERSE))
+    sums = _BYTE[data]
+    sums *= _POWERS[: len(data)]
+    np.cumsum(sums, out=sums)
+    before = sums[starts - 1]
+    before[0] = 0
+    x = (sums[np.append(starts[1:] - 1, len(data) - 1)] - before) * _INVERSES[starts]
+    return x ^ (x >> np.uint64(32))
+
 
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
 
-_BYTE, _PLACE, _STEP = np.random.default_rng(11).integers(0, 1 << 63, (3, 4096), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+_BYTE = np.random.default_rng(11).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_POWERS = _INVERSES = np.zeros(0, np.uint64)
 
 
 def _parts(data: np.ndarray, size: int = CHUNK) -> list[int]:
@@ -235,9 +261,37 @@ def encode_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int) ->
                 yield flush(docs[a:b], *encode(own, offsets[a : b + 1] - offsets[a]))
 
 
+def _in_ranges(docs: DataFrame) -> DataFrame:
+    """doc_id, text dealt to partitions by ranges of doc_id, in order; only ids are read to find the ranges.
+
+    (repartitionByRange would read the texts a second time for its sample.)
+    """
+    spark = docs.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cuts = docs.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)] or [0.5], 100 * n)).first()[0] or []
+    cuts = sorted(set(cuts))
+    n = len(cuts) + 1
+    # A number that Spark's hash partitioning sends to each partition.
+    sent = spark.range(64 * n).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("to")).agg(F.min("id").alias("id"))
+    key = dict(sent.collect())
+    if len(key) < n:
+        return docs.select("doc_id", "text").repartitionByRange(n, "doc_id")
+    to = F.when(F.col("doc_id").isNull(), 0).otherwise(_bucket(F.col("doc_id"), cuts))
+    keys = F.array(*(F.lit(key[k]).cast("long") for k in range(n)))
+    return docs.select("doc_id", "text", F.element_at(keys, to + 1).alias("to")).repartition(n, "to").drop("to")
+
+
+def _bucket(value: Column, cuts: list[int]) -> Column:
+    """How many of the ascending ``cuts`` are at most ``value``, by halves."""
+    if not cuts:
+        return F.lit(0)
+    k = len(cuts) // 2
+    return F.when(value < cuts[k], _bucket(value, cuts[:k])).otherwise(F.lit(k + 1) + _bucket(value, cuts[k + 1 :]))
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2) -> None:
     """Encode every whole text of ``docs`` and write the ids below ``path`` in ascending doc_id order."""
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = _in_ranges(docs).sortWithinPartitions("doc_id", "text")
     # Named in the module, encode_batches is not pickled with a copy of the encoders it keeps.
     ordered.mapInArrow(lambda batches: encode_batches(batches, tokenizer_path, end_id), SCHEMA).write.options(**_WRITER).parquet(path)
 
