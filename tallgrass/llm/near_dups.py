@@ -27,7 +27,7 @@ doc_id and text are read.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -113,62 +113,68 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, coordina
     centre = centre.where("left > 1").select("entry", (-F.col("top.minus")).alias("centre"))
     marks = lambda k: classes.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("marks").alias(f"marks_{k}"))
     collisions = F.aggregate(F.zip_with("marks_a", "marks_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    sizes_fit = (F.col("n_a") * percent <= F.col("n_b") * 100) & (F.col("n_b") * percent <= F.col("n_a") * 100)
-
-    def of_several(entries: DataFrame) -> DataFrame:
-        """The lists that hold more than one component."""
-        return entries.groupBy("entry").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1").select("entry")
 
     def matched(pairs: DataFrame) -> DataFrame:
-        return pairs.join(marks("a"), "a").join(marks("b"), "b").where(sizes_fit & (collisions >= matches)).select("a", "b")
+        return pairs.join(marks("a"), "a").join(marks("b"), "b").where(_sizes_fit(percent) & (collisions >= matches)).select("a", "b")
 
     stars = shared.join(centre, "entry").where("node != centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
     sets = stash(_full_sets(docs, classes.join(many.select("node"), "node"), width), "nd-sets")
-    first = stash(_confirmed(matched(stars), sets, percent), "nd-stars")
-    roots = components(first)
-
-    # Merge what the stars left apart.
-    apart = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    prefix = stash(_prefixes(apart, coordinates, matches).join(of_several(apart), "entry"), "nd-prefix")
-    involved = prefix.select("node").distinct()
-    open_sets = sets.join(involved, "node")
-    single = open_sets.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("in"), F.min("node").alias("node")).where("in = 1")
+    confirm = lambda pairs: _confirmed(matched(pairs), sets, percent)
+    roots = linked(_prefixes(shared, coordinates, matches), sets, stash(confirm(stars), "nd-stars"), confirm, percent)
+
+    named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = named.groupBy("root").agg(F.min("low").alias("component_id"))
+    of = named.join(least, "root").select(*(F.col(c).alias(f"c_{c}") for c in key), "component_id")
+    whole = rows.join(of, [rows[c] == F.col(f"c_{c}") for c in key], "left")
+    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return whole.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def _sizes_fit(percent: int) -> Column:
+    return (F.col("n_a") * percent <= F.col("n_b") * 100) & (F.col("n_b") * percent <= F.col("n_a") * 100)
+
+
+def _several(entries: DataFrame, roots: DataFrame) -> DataFrame:
+    """``entries`` with their roots, of lists that hold more than one component."""
+    apart = entries.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    lists = apart.groupBy("entry").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1").select("entry")
+    return apart.join(lists, "entry")
+
+
+def linked(entries: DataFrame, sets: DataFrame, links: DataFrame, confirm: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """node, root of every linked node: ``links`` (a, b) and all links between nodes that share an entry.
+
+    ``entries`` holds entry and node, ``sets`` node, n and shingles of every node of an entry (others are not read);
+    ``confirm`` returns the links among pairs (a, b).
+    """
+    prefix = stash(_several(entries, components(links)).select("entry", "node"), "nd-prefix")
+    open_sets = sets.join(prefix.select("node").distinct(), "node")
+    single = open_sets.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle")
+    single = single.agg(F.count(F.lit(1)).alias("in"), F.min("node").alias("node")).where("in = 1")
     own = single.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
-    ready = prefix.join(own, "node", "left").select("entry", "node", "n", "root", (F.col("n") - F.coalesce("own", F.lit(0))).alias("common"))
-    ready = stash(ready, "nd-ready")
 
     # Stars once more: now the class with the fewest shingles of its own is the partner, as an original is of its copies.
-    partner = ready.groupBy("entry").agg(F.max(F.struct(F.col("common") - F.col("n"), (-F.col("node")).alias("minus"))).alias("top"))
+    ready = stash(prefix.join(own, "node", "left").select("entry", "node", (-F.coalesce("own", F.lit(0))).alias("shared")), "nd-ready")
+    partner = ready.groupBy("entry").agg(F.max(F.struct("shared", (-F.col("node")).alias("minus"))).alias("top"))
     partner = partner.select("entry", (-F.col("top.minus")).alias("centre"))
     stars = ready.join(partner, "entry").where("node != centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
-    links = stash(first.unionByName(_confirmed(matched(stars), sets, percent)), "nd-links")
-    roots = components(links)
-    apart = ready.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    ready = stash(apart.join(of_several(apart), "entry"), "nd-apart")
+    links = stash(links.unionByName(confirm(stars)), "nd-links")
+    nodes = stash(_several(ready, components(links)).select("node", "root").distinct(), "nd-apart")
 
-    rare = stash(_rarest(sets.join(ready.select("node", "root").distinct(), "node"), percent), "nd-rarest")
+    rare = stash(_rarest(sets.join(nodes, "node"), percent), "nd-rarest")
     x, y = (rare.select("shingle", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "n", "root", "at"))) for k in "ab")
     reach = _similar(F.col("n_a"), F.col("n_b"), F.least(F.col("n_a") - F.col("at_a") + 1, F.col("n_b") - F.col("at_b") + 1), percent)
-    pairs = x.join(y, (x["shingle"] == y["shingle"]) & (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & sizes_fit & reach)
+    apart = (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b"))
+    pairs = x.join(y, (x["shingle"] == y["shingle"]) & apart & _sizes_fit(percent) & reach)
     pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-    roots = components(links.unionByName(_confirmed(matched(pairs), sets, percent)))
-
-    named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    of = named.join(least, "root").select(*(F.col(c).alias(f"c_{c}") for c in key), "component_id")
-    whole = rows.join(of, [rows[c] == F.col(f"c_{c}") for c in key], "left")
-    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return whole.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return components(links.unionByName(confirm(pairs)))
 
 
-def _prefixes(apart: DataFrame, coordinates: int, matches: int) -> DataFrame:
+def _prefixes(shared: DataFrame, coordinates: int, matches: int) -> DataFrame:
     """Of each node's entries the rarest ``coordinates - matches + 1``; entries that no other node has come first."""
-    listed = apart.groupBy("node").agg(
-        F.array_sort(F.collect_list(F.struct("long", "entry"))).alias("entries"),
-        F.first("n").alias("n"), F.first("root").alias("root"), F.first("hits").alias("hits"),
-    )
+    listed = shared.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("long", "entry"))).alias("entries"), F.first("hits").alias("hits"))
     first = F.greatest(F.lit(0), F.col("hits").cast("int") - F.lit(matches - 1))
-    return listed.withColumn("entries", F.slice("entries", F.lit(1), first)).select("node", "n", "root", F.explode("entries.entry").alias("entry"))
+    return listed.withColumn("entries", F.slice("entries", F.lit(1), first)).select("node", F.explode("entries.entry").alias("entry"))
 
 
 def _rarest(sets: DataFrame, percent: int) -> DataFrame:
