@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallgrass.llm import graph_ann, html_text, language, mixing, tokens, warc
 from tallgrass.llm.contamination import contained_items
+from tallgrass.llm.lines import fuzzy_lines
 from tallgrass.llm.near_dups import near_duplicates
 from tallgrass.llm.repeated import remove_repeats
 from tallgrass.plans.durable import scratch
@@ -50,6 +51,10 @@ def op6_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph_ann.search(graph_ann.build_index(vectors), vectors.where(F.col("vec_id") % 20 == 0))
 
 
+def op7_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines(table(spark, sf_dir, "documents"))
+
+
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -70,6 +75,7 @@ QUERIES = {
     "op4_token_files": op4_token_files,
     "op5_html_main_text": op5_html_main_text,
     "op6_graph_neighbours": op6_graph_neighbours,
+    "op7_fuzzy_lines": op7_fuzzy_lines,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_minhash_near_dups": op9_minhash_near_dups,
     "op10_mix_sources": op10_mix_sources,
