@@ -9,6 +9,17 @@ from pyspark.sql import SparkSession
 import tallgrass
 
 
+#: Bytes of a batch that goes to a Python worker, unless the session has set its own.
+BATCH_BYTES = "16m"
+
+
+def lean_batches(spark: SparkSession) -> None:
+    """Hand Python workers smaller batches than Spark's default of 64 MB, for rows with texts; a session's own size stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) in ("67108864b", "67108864", "64m", "64MB"):
+        spark.conf.set(key, BATCH_BYTES)
+
+
 def share_code(spark: SparkSession) -> None:
     """Let Python workers on this machine's path import the library; a cluster gets it by --py-files or an install."""
     top = str(Path(tallgrass.__file__).resolve().parents[1])
