@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tallgrass.llm import contamination, language, mixing, near_dups, tokens
 from tallgrass.llm.joins import without
 from tallgrass.llm.queries import tokenizer_file
 from tallgrass.plans.durable import scratch, stash
+from tallgrass.plans.workers import lean_batches
 from tallgrass.sources.tables import table
 
 
@@ -39,12 +42,21 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return tokens.read_tokens(spark, path)
 
 
+def _lean(stage):
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        lean_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("language ID", language_id),
-    ("MinHash near-dedup", near_duplicates),
-    ("benchmark decontamination", decontamination),
-    ("mixing sources to target weights", source_mix),
-    ("token-ID / binary output", token_output),
+    ("language ID", _lean(language_id)),
+    ("MinHash near-dedup", _lean(near_duplicates)),
+    ("benchmark decontamination", _lean(decontamination)),
+    ("mixing sources to target weights", _lean(source_mix)),
+    ("token-ID / binary output", _lean(token_output)),
 ]
 #: Language scores and near-duplicate signatures have no SQL; the tests hold each stage against brute force.
 ORACLE_SQL = None

@@ -11,7 +11,9 @@ text.
 
 from __future__ import annotations
 
+import gc
 import os
+import threading
 import zlib
 from collections.abc import Iterator
 from itertools import chain, repeat
@@ -27,7 +29,7 @@ from pyspark.sql.window import Window
 from tallgrass.llm.shingles import chunks, utf8
 
 #: Pieces whose ids a worker remembers before it starts anew, and bytes of text that it encodes at once.
-REMEMBERED = 700_000
+REMEMBERED = 600_000
 CHUNK = 2 << 20
 
 SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
@@ -231,13 +233,34 @@ def _parts(data: np.ndarray, size: int = CHUNK) -> list[int]:
     return [*cuts, len(data)]
 
 
+#: Seconds after which a worker that no longer encodes frees its encoder.
+IDLE = 6.0
+
 _ENCODERS: dict[tuple[str, int], Encoder] = {}
+_FREEING: list[threading.Timer] = []
+
+
+def _free_when_idle() -> None:
+    while _FREEING:
+        _FREEING.pop().cancel()
+
+    def free() -> None:
+        _ENCODERS.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+    timer = threading.Timer(IDLE, free)
+    timer.daemon = True
+    timer.start()
+    _FREEING.append(timer)
 
 
 def encode_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
     """Batches of doc_id, text as batches of SCHEMA; a worker's encoder serves all its tasks."""
     encode = _ENCODERS.get((path, end_id)) or _ENCODERS.setdefault((path, end_id), Encoder(path, end_id))
     part, at = TaskContext.get().partitionId(), 0
+    while _FREEING:
+        _FREEING.pop().cancel()
 
     def flush(docs: list, ids: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
         nonlocal at
@@ -259,6 +282,7 @@ def encode_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int) ->
                 yield flush(docs[a:b], ids, np.array([len(ids)]))
             else:
                 yield flush(docs[a:b], *encode(own, offsets[a : b + 1] - offsets[a]))
+    _free_when_idle()
 
 
 def _in_ranges(docs: DataFrame) -> DataFrame:
