@@ -151,8 +151,9 @@ def lifted(vectors: np.ndarray) -> np.ndarray:
 
 
 def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = pa.Table.from_batches(list(batches)).combine_chunks()  # the shards of a task, of bounded size
-    for shard in np.unique(rows["shard"].to_numpy()) if rows.num_rows else []:
+    batches = [b for b in batches if b.num_rows]  # the shards of a task, of bounded size
+    rows = pa.Table.from_batches(batches).combine_chunks() if batches else None
+    for shard in np.unique(rows["shard"].to_numpy()) if batches else []:
         own = rows.filter(pa.compute.equal(rows["shard"], shard)).combine_chunks()
         vectors = matrix(own["embedding"].chunk(0))
         distinct, node = np.unique(vectors, axis=0, return_inverse=True)
