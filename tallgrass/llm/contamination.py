@@ -57,12 +57,14 @@ def _threshold(coordinates: int, percent: int) -> int:
 
 def contained_items(docs: DataFrame, items: DataFrame, width: int = 5, percent: int = 80, coordinates: int = 16) -> DataFrame:
     """doc_id, item_id, n_shingles (of the item), n_shared, containment of every pair that reaches ``percent``."""
+    docs, items = docs.select("doc_id", "text"), items.select("item_id", "text")
     item_shingles = _hashed(items, "item_id", width).select(F.col("key").alias("item"), F.explode_outer("shingles").alias("shingle"))
     item_shingles = item_shingles.where(F.col("shingle").isNotNull()).distinct()
-    sizes = item_shingles.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    sizes = item_shingles.groupBy(F.col("item").alias("its")).agg(F.count(F.lit(1)).alias("n"))
     orders = item_shingles.withColumn("order", F.explode(F.sequence(F.lit(1), F.lit(coordinates))))
     least = orders.groupBy("item", "order").agg(F.min_by("shingle", F.xxhash64("shingle", "order")).alias("shingle"))
-    posted = least.groupBy("item", "shingle").agg(F.count(F.lit(1)).alias("weight")).join(sizes, "item")
+    posted = least.groupBy("item", "shingle").agg(F.count(F.lit(1)).alias("weight"))
+    posted = posted.join(sizes, F.col("item").eqNullSafe(F.col("its")))
     partition = F.floor(F.log2("n"))
     posted = posted.select("item", "shingle", "weight", F.ceil(F.pow(F.lit(2.0), partition) * percent / 100).alias("fits"))
     posted = stash(posted, "bench-posted")

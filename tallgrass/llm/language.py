@@ -174,7 +174,7 @@ def _sampled_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Network | None:
     """The network learned from a sample of the labelled rows of ``docs`` that aren't held out."""
     draw = F.xxhash64("doc_id")
-    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    labelled = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     counts = labelled.groupBy("lang").count()
     each = F.floor(F.lit(sample_docs) / F.greatest(F.lit(1), F.count(F.lit(1)).over(Window.partitionBy())))
     share = counts.withColumn("each", F.greatest(F.lit(1), each)).select(F.col("lang").alias("its_lang"), "each", (F.col("each") * 2 + 50).alias("some"), "count")

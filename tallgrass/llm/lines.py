@@ -172,7 +172,8 @@ def _sets(width: int):
 def fuzzy_lines(docs: DataFrame, width: int = 7, percent: int = 80) -> DataFrame:
     """Every line of ``docs`` that isn't blank: doc_id, line (from 0), first_doc_id and first_line (the first of its
     component) and kept."""
-    rows = stash(docs.select("doc_id", "text").mapInArrow(_sketch(width), _LINES), "fl-lines")
+    docs = docs.select("doc_id", "text")
+    rows = stash(docs.mapInArrow(_sketch(width), _LINES), "fl-lines")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line")
     classes = stash(
         rows.groupBy("name_a", "name_b").agg(F.min(order).alias("low"), F.first("bands").alias("bands")).withColumn("node", F.monotonically_increasing_id()),

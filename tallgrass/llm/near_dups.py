@@ -92,6 +92,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, coordinates: int = 32) -> DataFrame:
     """doc_id, n_shingles, component_id (least id that links reach) and kept of every row of ``docs``."""
+    docs = docs.select("doc_id", "text")
     matches = enough(coordinates, percent)
     rows = stash(_sketches(docs, width, coordinates), "nd-sketches")
     key = ["n", "set_a", "set_b"]
