@@ -8,7 +8,8 @@ exact bound on what a pair can share, so that no list is expanded into all its p
 are found by distributed union-find; the first line of a component, by document and then by place, is kept.
 
 With the default 12 bands of 4 rows a pair at similarity 0.8 becomes a candidate with probability 0.998, one at 0.9
-always but for once in a million; more links of a component make up for a missed one.
+always but for once in 180,000; more links of a component make up for a missed one. Lines are told apart by a 64-bit
+hash while they are compared, and by a second one when components are handed to them.
 
 Defined cases: null text has no lines; lines that are empty or blank are never duplicates and all stay; lines end at
 \\n alone; null ids come last; repeated rows are documents of their own with equal lines, and equal lines of one id and
@@ -88,11 +89,13 @@ def _sketch(width: int):
         name_a, name_b = _names(points, starts, sizes)
         hashes, n = _shingle_hashes(points, starts, sizes, width)
         low, first = (hashes >> np.uint64(32)).astype(np.uint32), np.cumsum(n) - n
-        bands = np.empty((len(n), BANDS), np.uint64)
+        bands, spare = np.empty((len(n), BANDS), np.uint64), np.empty_like(low)
         for b in range(BANDS):
             value = np.full(len(n), b + 1, np.uint64)
             for r in range(b * ROWS, (b + 1) * ROWS):
-                value = mixed(value * _ODD[9] + np.minimum.reduceat((low ^ factors[1, r]) * factors[0, r], first))
+                np.bitwise_xor(low, factors[1, r], out=spare)
+                np.multiply(spare, factors[0, r], out=spare)
+                value = mixed(value * _ODD[9] + np.minimum.reduceat(spare, first))
             bands[:, b] = value
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel().view(np.int64)))
         ids = pa.array(docs, pa.int64()).take(pa.array(of))
@@ -128,7 +131,7 @@ def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for x in wanted.as_py():
                     if x["line"] < len(own) and own[x["line"]]:
                         nodes.append(x["node"])
-                        names.append((x["name_a"], x["name_b"]))
+                        names.append((x["node"], x["name_b"]))
                         found.append(own[x["line"]])
             if found:
                 points, starts, _ = _cut(found)
@@ -175,21 +178,17 @@ def fuzzy_lines(docs: DataFrame, width: int = 7, percent: int = 80) -> DataFrame
     docs = docs.select("doc_id", "text")
     rows = stash(docs.mapInArrow(_sketch(width), _LINES), "fl-lines")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line")
-    classes = stash(
-        rows.groupBy("name_a", "name_b").agg(F.min(order).alias("low"), F.first("bands").alias("bands")).withColumn("node", F.monotonically_increasing_id()),
-        "fl-classes",
-    )
-    posted = classes.select("node", F.explode("bands").alias("entry")).repartition("entry")
-    lists = posted.groupBy("entry").agg(F.count(F.lit(1)).alias("long")).where("long > 1")
-    shared = stash(posted.join(lists, "entry"), "fl-shared")
-    hits = shared.groupBy("node").agg(F.count(F.lit(1)).alias("hits"), F.sum("long").alias("weight"))
-    ranked = shared.join(hits, "node")
-    centre = ranked.groupBy("entry").agg(F.max(F.struct("hits", "weight", (-F.col("node")).alias("minus"))).alias("top"))
-    centre = centre.select("entry", (-F.col("top.minus")).alias("centre"))
-
-    wanted = classes.join(hits.select("node"), "node").groupBy(F.col("low.doc_id").alias("w_id")).agg(F.collect_list(F.struct("low.line", "node", "name_a", "name_b")).alias("wanted"))
+    classes = stash(rows.groupBy(F.col("name_a").alias("node"), "name_b").agg(F.min(order).alias("low")), "fl-classes")
+    # One exchange serves both the lists and the join; lists of one line's copies alone are left out.
+    posted = rows.select(F.col("name_a").alias("node"), F.explode("bands").alias("entry")).repartition("entry")
+    lists = posted.groupBy("entry").agg(F.min("node").alias("n0"), F.max("node").alias("n1")).where("n0 != n1").select("entry")
+    shared = stash(posted.join(lists.hint("shuffle_hash"), "entry").distinct(), "fl-shared")
+    hits = shared.groupBy("node").agg(F.count(F.lit(1)).alias("hits"))
+    centre = shared.join(hits, "node").groupBy("entry").agg(F.max(F.struct("hits", "node")).alias("top")).select("entry", F.col("top.node").alias("centre"))
+
+    wanted = classes.join(hits.select("node"), "node").groupBy(F.col("low.doc_id").alias("w_id")).agg(F.collect_list(F.struct("low.line", "node", "name_b")).alias("wanted"))
     wanted = stash(wanted, "fl-wanted")
-    if (wanted.agg(F.sum(F.size("wanted") * 32 + 64)).first()[0] or 0) <= BROADCAST_BYTES:
+    if (wanted.agg(F.sum(F.size("wanted") * 24 + 64)).first()[0] or 0) <= BROADCAST_BYTES:
         wanted = F.broadcast(wanted)
     texts = docs.where(F.col("text").isNotNull()).join(wanted, docs["doc_id"].eqNullSafe(F.col("w_id")))
     texts = texts.select("text", "wanted").mapInArrow(_wanted, "node long, characters string")
@@ -202,12 +201,16 @@ def fuzzy_lines(docs: DataFrame, width: int = 7, percent: int = 80) -> DataFrame
 
     stars = shared.join(centre, "entry").where("node != centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
     first = stash(confirm(stars), "fl-stars")
-    sets = texts.mapInArrow(_sets(width), "node long, n long, shingles array<long>")
-    roots = linked(shared.select("entry", "node"), sets, first, confirm, percent)
 
-    named = classes.select("name_a", "name_b", "low", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        sets = texts.join(nodes.select("node"), "node").mapInArrow(_sets(width), "node long, n long, shingles array<long>")
+        return sets.join(nodes, "node") if len(nodes.columns) > 1 else sets
+
+    roots = linked(shared.select("entry", "node"), sets_of, first, confirm, percent)
+
+    named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("low").alias("first"))
-    of = named.join(least, "root").select(F.col("name_a").alias("a"), F.col("name_b").alias("b"), "first")
+    of = named.join(least, "root").select(F.col("node").alias("a"), F.col("name_b").alias("b"), "first")
     whole = rows.join(of, (F.col("name_a") == F.col("a")) & (F.col("name_b") == F.col("b")))
     first_id, first_line = F.col("first.doc_id"), F.col("first.line")
     kept = F.col("doc_id").eqNullSafe(first_id) & (F.col("line") == first_line)

@@ -121,7 +121,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, coordina
     stars = shared.join(centre, "entry").where("node != centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
     sets = stash(_full_sets(docs, classes.join(many.select("node"), "node"), width), "nd-sets")
     confirm = lambda pairs: _confirmed(matched(pairs), sets, percent)
-    roots = linked(_prefixes(shared, coordinates, matches), sets, stash(confirm(stars), "nd-stars"), confirm, percent)
+    roots = linked(_prefixes(shared, coordinates, matches), lambda nodes: sets.join(nodes, "node"), stash(confirm(stars), "nd-stars"), confirm, percent)
 
     named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("low").alias("component_id"))
@@ -142,14 +142,14 @@ def _several(entries: DataFrame, roots: DataFrame) -> DataFrame:
     return apart.join(lists, "entry")
 
 
-def linked(entries: DataFrame, sets: DataFrame, links: DataFrame, confirm: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+def linked(entries: DataFrame, sets_of: Callable[[DataFrame], DataFrame], links: DataFrame, confirm: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """node, root of every linked node: ``links`` (a, b) and all links between nodes that share an entry.
 
-    ``entries`` holds entry and node, ``sets`` node, n and shingles of every node of an entry (others are not read);
+    ``entries`` holds entry and node; ``sets_of`` returns node, n and shingles of nodes (and their other columns);
     ``confirm`` returns the links among pairs (a, b).
     """
     prefix = stash(_several(entries, components(links)).select("entry", "node"), "nd-prefix")
-    open_sets = sets.join(prefix.select("node").distinct(), "node")
+    open_sets = sets_of(prefix.select("node").distinct())
     single = open_sets.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle")
     single = single.agg(F.count(F.lit(1)).alias("in"), F.min("node").alias("node")).where("in = 1")
     own = single.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
@@ -162,7 +162,7 @@ def linked(entries: DataFrame, sets: DataFrame, links: DataFrame, confirm: Calla
     links = stash(links.unionByName(confirm(stars)), "nd-links")
     nodes = stash(_several(ready, components(links)).select("node", "root").distinct(), "nd-apart")
 
-    rare = stash(_rarest(sets.join(nodes, "node"), percent), "nd-rarest")
+    rare = stash(_rarest(sets_of(nodes), percent), "nd-rarest")
     x, y = (rare.select("shingle", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "n", "root", "at"))) for k in "ab")
     reach = _similar(F.col("n_a"), F.col("n_b"), F.least(F.col("n_a") - F.col("at_a") + 1, F.col("n_b") - F.col("at_b") + 1), percent)
     apart = (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b"))
