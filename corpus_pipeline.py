@@ -15,7 +15,7 @@ from tallgrass.sources.tables import table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known; what has no text, no letter or no language with half the odds goes."""
+    """Documents whose language is known; what has no text, no letter or no likely language goes."""
     return language.accepted(docs, language.learn(docs))
 
 

@@ -227,7 +227,7 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
     )
 
 
-def accepted(docs: DataFrame, net: Network | None, least: float = 0.5) -> DataFrame:
+def accepted(docs: DataFrame, net: Network | None, least: float = 0.35) -> DataFrame:
     """The rows of ``docs``, all columns kept, whose language is known with a score of at least ``least``.
 
     Rows are judged by id: all rows of an id go if one of them is rejected.
