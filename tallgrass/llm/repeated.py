@@ -40,7 +40,24 @@ SORT_BYTES = 1 << 20
 #: Bytes of spans that are sent to all executors at most; more are joined by a shuffle.
 BROADCAST_BYTES = 48 << 20
 
-_RUNS = "doc_id long, sign long, place long, string long, whole long"
+_RUNS = "doc_id long, sign long, place long, string long, whole long, again boolean"
+
+
+def _again(doc: np.ndarray, sign: np.ndarray, place: np.ndarray, string: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """Runs that come after an equal run of these, by document and place; rows of one place do not."""
+    again = np.zeros(len(doc), bool)
+    key = string * np.int64(-7046029254386353131) + whole
+    _, of, count = np.unique(key, return_inverse=True, return_counts=True)
+    some = np.flatnonzero(count[of] > 1)
+    some = some[np.lexsort((place[some], sign[some], doc[some], whole[some], string[some]))]
+    same = lambda *x: np.logical_and.reduce([y[some[1:]] == y[some[:-1]] for y in x])
+    equal = np.append(False, same(string, whole))
+    fresh = np.append(True, ~same(doc, sign, place))
+    begin = np.flatnonzero(~equal)  # of each group of equal runs; a row is again if one before it in its group is of another place
+    first = np.repeat(begin, np.diff(np.append(begin, len(some))))
+    moved = np.cumsum(fresh)
+    again[some] = moved > moved[first] if len(some) else False
+    return again
 
 
 def _runs(length: int):
@@ -51,8 +68,12 @@ def _runs(length: int):
                 text, first, last, anchor, string, whole = anchors(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], length, length * 2 // 5)
                 of = pa.array(text + a)
                 place = first << 14 | (last - first)
-                columns = [batch.column(0).take(of), batch.column(1).take(of), *(pa.array(x) for x in (place, string.view(np.int64), whole.view(np.int64)))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "sign", "place", "string", "whole"])
+                string, whole = string.view(np.int64), whole.view(np.int64)
+                doc, sign = batch.column(0).take(of), batch.column(1).take(of)
+                ids = doc.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
+                again = _again(ids, sign.to_numpy(zero_copy_only=False), place, string, whole)
+                columns = [doc, sign, *(pa.array(x) for x in (place, string, whole, again))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "sign", "place", "string", "whole", "again"])
 
     return run
 
@@ -158,15 +179,18 @@ def repeated_spans(docs: DataFrame, length: int = 100) -> DataFrame:
     # An id with a whole copy may have other texts too: these are told apart by their hash again.
     own = signed.join(_sent(copies.select(F.col("doc_id").alias("c_id"), F.col("sign").alias("c_sign")), F.lit(32)), F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("sign") == F.col("c_sign")), "left_anti")
 
-    by_string = Window.partitionBy("string")
-    by_name = Window.partitionBy("string", "whole").orderBy("doc_id", "sign", "place")
-    runs = own.mapInArrow(_runs(length), _RUNS).repartition("string")
+    # Runs known to repeat another of their own batch need no comparison and are dealt out by their place, so that a
+    # string of a third of all documents sends few rows to its task.
+    dealt = F.when(F.col("again"), F.xxhash64("doc_id", "sign", "place")).otherwise(F.col("string"))
+    by_string = Window.partitionBy("dealt", "again")
+    by_name = Window.partitionBy("dealt", "again", "whole").orderBy("doc_id", "sign", "place")
+    runs = own.mapInArrow(_runs(length), _RUNS).withColumn("dealt", dealt).repartition("dealt")
     found = (
         runs.withColumns({"rows": F.count(F.lit(1)).over(by_string), "w0": F.min("whole").over(by_string), "w1": F.max("whole").over(by_string)})
-        .where("rows > 1")
+        .where("rows > 1 OR again")
         .withColumn("nth", F.dense_rank().over(by_name))
-        .where("w0 != w1 OR nth > 1")
-        .select("doc_id", "sign", "place", F.when(F.col("nth") == 1, F.col("string")).alias("string"))
+        .where("w0 != w1 OR nth > 1 OR again")
+        .select("doc_id", "sign", "place", F.when((F.col("nth") == 1) & ~F.col("again"), F.col("string")).alias("string"))
     )
     found = stash(found, "rs-runs")
     opened = found.where("string IS NOT NULL").groupBy("doc_id", "sign").agg(F.collect_list(F.struct("place", "string")).alias("open"))
