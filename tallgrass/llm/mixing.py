@@ -95,28 +95,41 @@ def _drawn(sizes: DataFrame, seed: str) -> DataFrame:
     return sizes.withColumn("draw", seeded(F.col("doc_id"), seed)).withColumn("slot", F.shiftright("draw", 16))
 
 
-def _goals(sizes: DataFrame, weights: Sequence[float], share: float, epochs: float, seed: str) -> DataFrame:
-    """Per source: its target, whole repetitions, the words to spare for one more, and the slot in which these end."""
-    goals = (
-        source_targets(sizes, weights, share, epochs)
-        .withColumn("whole", F.coalesce(F.floor(F.col("target") / F.nullif(F.col("source_size"), F.lit(0))), F.lit(0)))
-        .withColumn("spare", F.col("target") - F.col("whole") * F.col("source_size"))
-        .withColumnRenamed("source", "goal_source")
-    )
+def _cut(slots: DataFrame, goals: DataFrame) -> DataFrame:
+    """cut_source, cut_slot, cut_from: the slot (of source, slot, slot_size) of each source in which its ``spare`` falls."""
     running = Window.partitionBy("source").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    slots = (
-        _drawn(sizes, seed)
-        .groupBy("source", "slot")
-        .agg(F.sum("size").alias("slot_size"))
-        .withColumn("slot_from", F.coalesce(F.sum("slot_size").over(running), F.lit(0)))
-    )
-    cut = (
+    slots = slots.withColumn("slot_from", F.coalesce(F.sum("slot_size").over(running), F.lit(0)))
+    return (
         slots.join(goals, slots["source"].eqNullSafe(F.col("goal_source")))
         .where((F.col("slot_from") <= F.col("spare")) & (F.col("spare") < F.col("slot_from") + F.col("slot_size")))
         .groupBy(F.col("goal_source").alias("cut_source"))
         .agg(F.min(F.struct("slot", "slot_from")).alias("cut"))
         .select("cut_source", F.col("cut.slot").alias("cut_slot"), F.col("cut.slot_from").alias("cut_from"))
     )
+
+
+def _goals(sizes: DataFrame, weights: Sequence[float], share: float, epochs: float, seed: str) -> DataFrame:
+    """Per source: its target, whole repetitions, the words to spare for one more, and the slot in which these end.
+
+    Slots are added up in two steps, of 256 each, so a source has no more than 256 rows in either however large it is.
+    """
+    goals = stash(
+        source_targets(sizes, weights, share, epochs)
+        .withColumn("whole", F.coalesce(F.floor(F.col("target") / F.nullif(F.col("source_size"), F.lit(0))), F.lit(0)))
+        .withColumn("spare", F.col("target") - F.col("whole") * F.col("source_size"))
+        .withColumnRenamed("source", "goal_source"),
+        "mix-targets",
+    )
+    drawn = _drawn(sizes, seed)
+    summed = lambda df, slot: df.groupBy("source", slot.alias("slot")).agg(F.sum("size").alias("slot_size"))
+    coarse = _cut(summed(drawn, F.shiftright("slot", 8)), goals.select("goal_source", "spare"))
+    coarse = coarse.withColumnsRenamed({"cut_source": "in_source", "cut_slot": "in_slot", "cut_from": "in_from"})
+    coarse = stash(coarse, "mix-coarse")
+    inside = drawn.join(coarse, drawn["source"].eqNullSafe(F.col("in_source")) & (F.shiftright("slot", 8) == F.col("in_slot")), "left_semi")
+    left = goals.join(coarse, F.col("goal_source").eqNullSafe(F.col("in_source"))).select("goal_source", (F.col("spare") - F.col("in_from")).alias("spare"), "in_from")
+    cut = _cut(summed(inside, F.col("slot")), left)
+    cut = cut.join(left.select(F.col("goal_source").alias("of"), "in_from"), F.col("cut_source").eqNullSafe(F.col("of")))
+    cut = cut.select("cut_source", "cut_slot", (F.col("cut_from") + F.col("in_from")).alias("cut_from"))
     return stash(goals.join(cut, F.col("goal_source").eqNullSafe(F.col("cut_source")), "left"), "mix-goals")
 
 
