@@ -26,6 +26,7 @@ from pyspark.sql.window import Window
 from tallgrass.llm.joins import without
 from tallgrass.llm.shingles import chunks, utf8
 from tallgrass.plans.durable import stash
+from tallgrass.plans.workers import tidy
 
 #: Bytes of a window.
 WINDOW = 256
@@ -184,7 +185,7 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Network | None:
     by_draw = Window.partitionBy("lang").orderBy("draw", "doc_id")
     taken = thin.withColumn("rank", F.row_number().over(by_draw)).where("rank <= each").select("doc_id").distinct()
     rows = labelled.join(F.broadcast(taken), "doc_id", "left_semi").select(draw.alias("draw"), "text", "lang")
-    rows = rows.mapInArrow(_sampled_windows, "draw long, lang string, bytes binary").toArrow()
+    rows = rows.mapInArrow(tidy(_sampled_windows), "draw long, lang string, bytes binary").toArrow()
     if not rows.num_rows:
         return None
     rows = rows.sort_by([("lang", "ascending"), ("draw", "ascending"), ("bytes", "ascending")])
@@ -219,7 +220,7 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters")
     if net is None:
         return docs.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    found = docs.select("doc_id", letters, "text").mapInArrow(_predict(net), "doc_id long, letters boolean, lang_pred string, score double")
+    found = docs.select("doc_id", letters, "text").mapInArrow(tidy(_predict(net)), "doc_id long, letters boolean, lang_pred string, score double")
     return found.select(
         "doc_id",
         F.when(F.col("letters"), F.col("lang_pred")).otherwise(UNKNOWN).alias("lang_pred"),

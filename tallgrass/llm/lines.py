@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from tallgrass.llm.near_dups import linked
 from tallgrass.llm.shingles import mixed
 from tallgrass.plans.durable import stash
+from tallgrass.plans.workers import tidy
 
 BANDS = 12
 ROWS = 4
@@ -176,7 +177,7 @@ def fuzzy_lines(docs: DataFrame, width: int = 7, percent: int = 80) -> DataFrame
     """Every line of ``docs`` that isn't blank: doc_id, line (from 0), first_doc_id and first_line (the first of its
     component) and kept."""
     docs = docs.select("doc_id", "text")
-    rows = stash(docs.mapInArrow(_sketch(width), _LINES), "fl-lines")
+    rows = stash(docs.mapInArrow(tidy(_sketch(width)), _LINES), "fl-lines")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line")
     classes = stash(rows.groupBy(F.col("name_a").alias("node"), "name_b").agg(F.min(order).alias("low")), "fl-classes")
     # One exchange serves both the lists and the join; lists of one line's copies alone are left out.
@@ -191,13 +192,13 @@ def fuzzy_lines(docs: DataFrame, width: int = 7, percent: int = 80) -> DataFrame
     if (wanted.agg(F.sum(F.size("wanted") * 24 + 64)).first()[0] or 0) <= BROADCAST_BYTES:
         wanted = F.broadcast(wanted)
     texts = docs.where(F.col("text").isNotNull()).join(wanted, docs["doc_id"].eqNullSafe(F.col("w_id")))
-    texts = texts.select("text", "wanted").mapInArrow(_wanted, "node long, characters string")
+    texts = texts.select("text", "wanted").mapInArrow(tidy(_wanted), "node long, characters string")
     texts = stash(texts.dropDuplicates(["node"]), "fl-texts")
 
     def confirm(pairs: DataFrame) -> DataFrame:
         side = lambda k: texts.select(F.col("node").alias(k), F.col("characters").alias(f"line_{k}"), F.length("characters").alias(f"n_{k}"))
         both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "line_a", "line_b")
-        return both.mapInArrow(_verified(width, percent), "a long, b long")
+        return both.mapInArrow(tidy(_verified(width, percent)), "a long, b long")
 
     stars = shared.join(centre, "entry").where("node != centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
     first = stash(confirm(stars), "fl-stars")

@@ -38,6 +38,7 @@ from tallgrass.llm.components import components
 from tallgrass.llm.joins import small
 from tallgrass.llm.shingles import chunks, shingle_sets, signatures, utf8
 from tallgrass.plans.durable import stash
+from tallgrass.plans.workers import tidy
 
 _SET = "n long, set_a long, set_b long"
 
@@ -75,7 +76,7 @@ def _sketch(width: int, coordinates: int | None):
 
 
 def _sketches(docs: DataFrame, width: int, coordinates: int | None) -> DataFrame:
-    return docs.select("doc_id", "text").mapInArrow(_sketch(width, coordinates), f"doc_id long, {_SET}, marks array<long>")
+    return docs.select("doc_id", "text").mapInArrow(tidy(_sketch(width, coordinates)), f"doc_id long, {_SET}, marks array<long>")
 
 
 def _similar(a: Column, b: Column, both: Column, percent: int) -> Column:

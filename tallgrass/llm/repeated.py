@@ -34,6 +34,7 @@ from pyspark.sql.window import Window
 from tallgrass.llm.shingles import chunks, utf8
 from tallgrass.llm.suffixes import anchors, repeats
 from tallgrass.plans.durable import stash
+from tallgrass.plans.workers import tidy
 
 #: Bytes of runs that are sorted at once, about; the runs of one anchor string stay together.
 SORT_BYTES = 1 << 20
@@ -184,7 +185,7 @@ def repeated_spans(docs: DataFrame, length: int = 100) -> DataFrame:
     dealt = F.when(F.col("again"), F.xxhash64("doc_id", "sign", "place")).otherwise(F.col("string"))
     by_string = Window.partitionBy("dealt", "again")
     by_name = Window.partitionBy("dealt", "again", "whole").orderBy("doc_id", "sign", "place")
-    runs = own.mapInArrow(_runs(length), _RUNS).withColumn("dealt", dealt).repartition("dealt")
+    runs = own.mapInArrow(tidy(_runs(length)), _RUNS).withColumn("dealt", dealt).repartition("dealt")
     found = (
         runs.withColumns({"rows": F.count(F.lit(1)).over(by_string), "w0": F.min("whole").over(by_string), "w1": F.max("whole").over(by_string)})
         .where("rows > 1 OR again")
@@ -196,10 +197,10 @@ def repeated_spans(docs: DataFrame, length: int = 100) -> DataFrame:
     opened = found.where("string IS NOT NULL").groupBy("doc_id", "sign").agg(F.collect_list(F.struct("place", "string")).alias("open"))
     opened = stash(opened.withColumnsRenamed({"doc_id": "o_id", "sign": "o_sign"}), "rs-open")
     texts = own.join(_sent(opened, F.size("open") * 16 + 64), F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col("sign") == F.col("o_sign")))
-    contexts = texts.select("doc_id", "sign", "text", "open").mapInArrow(_contexts(length), "string long, doc_id long, sign long, place long, bytes binary")
+    contexts = texts.select("doc_id", "sign", "text", "open").mapInArrow(tidy(_contexts(length)), "string long, doc_id long, sign long, place long, bytes binary")
     ordered = contexts.repartition("string").sortWithinPartitions("string", "doc_id", "sign", "place")
     span = "doc_id long, sign long, begin long, end long"
-    windows = ordered.mapInArrow(_sorted(length), span)
+    windows = ordered.mapInArrow(tidy(_sorted(length)), span)
     start = F.shiftright("place", 14)
     whole = found.where("string IS NULL").select("doc_id", "sign", start.alias("begin"), (start + F.col("place").bitwiseAND(F.lit(16383)) + length).alias("end"))
     copied = copies.select("doc_id", "sign", F.lit(0).cast("long").alias("begin"), F.col("n").cast("long").alias("end"))
@@ -226,4 +227,4 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     spans = _sent(spans, F.size("begins") * 16 + 96)
     whole = _signed(docs).join(spans, F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("sign") == F.col("s_sign")), "left")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    return whole.select("doc_id", "text", "begins", "ends").mapInArrow(_cut, schema)
+    return whole.select("doc_id", "text", "begins", "ends").mapInArrow(tidy(_cut), schema)

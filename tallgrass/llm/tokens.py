@@ -11,7 +11,6 @@ text.
 
 from __future__ import annotations
 
-import gc
 import os
 import threading
 import zlib
@@ -27,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallgrass.llm.shingles import chunks, utf8
+from tallgrass.plans.workers import give_back
 
 #: Pieces whose ids a worker remembers before it starts anew, and bytes of text that it encodes at once.
 REMEMBERED = 600_000
@@ -246,8 +246,7 @@ def _free_when_idle() -> None:
 
     def free() -> None:
         _ENCODERS.clear()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     timer = threading.Timer(IDLE, free)
     timer.daemon = True
