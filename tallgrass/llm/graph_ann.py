@@ -29,12 +29,12 @@ from pyspark.sql.window import Window
 from tallgrass.plans.durable import stash
 
 #: Vectors of a shard, about; queries of a block.
-SHARD = 8192
+SHARD = 16384
 BLOCK = 16384
 #: Edges of a node, candidates kept while building and while searching, expansions in a step.
 DEGREE = 40
 BUILD_BEAM = 96
-SEARCH_BEAM = 256
+SEARCH_BEAM = 224
 EXPAND = 4
 ALPHA = 1.2
 #: Vectors inserted, and queries searched, at once.
@@ -51,12 +51,18 @@ def _distances(a: np.ndarray, rows: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def beam_search(points: np.ndarray, edges: np.ndarray, entry: int, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of each query the best ``beam`` nodes met (-1: none) and their squared distances, nearest first."""
+    """Of each query the best ``beam`` nodes met (-1: none), nearest first, and their squared distances less the query's
+    own square."""
     q = len(queries)
+    squares = np.einsum("nd,nd->n", points, points)
+
+    def gaps(rows: np.ndarray, of: np.ndarray) -> np.ndarray:
+        return squares[rows] - 2 * np.matmul(points[rows], queries[of][:, :, None])[:, :, 0]
+
     nodes = np.full((q, beam), -1, np.int64)
     nodes[:, 0] = entry
     far = np.full((q, beam), np.inf, np.float32)
-    far[:, 0] = _distances(points, nodes[:, :1], queries)[:, 0]
+    far[:, 0] = gaps(nodes[:, :1], np.arange(q))[:, 0]
     done = np.ones((q, beam), bool)
     done[:, 0] = False
     seen = np.zeros((q, len(points) + 1), bool)  # the last column stands for -1
@@ -64,7 +70,7 @@ def beam_search(points: np.ndarray, edges: np.ndarray, entry: int, queries: np.n
     active = np.arange(q)
     while len(active):
         some_done, some_nodes = done[active], nodes[active]
-        order = np.argsort(np.where(some_done, np.inf, far[active]), axis=1, kind="stable")[:, :EXPAND]
+        order = np.argpartition(np.where(some_done, np.inf, far[active]), EXPAND, axis=1)[:, :EXPAND]
         chosen = np.where(np.take_along_axis(some_done, order, 1), -1, np.take_along_axis(some_nodes, order, 1))
         np.put_along_axis(some_done, order, True, 1)
         new = np.where(chosen[:, :, None] >= 0, edges[chosen], -1).reshape(len(active), -1)
@@ -72,14 +78,14 @@ def beam_search(points: np.ndarray, edges: np.ndarray, entry: int, queries: np.n
         new[:, 1:][new[:, 1:] == new[:, :-1]] = -1
         new[seen[active[:, None], new]] = -1
         seen[active[:, None], new] = True
-        gaps = np.where(new >= 0, _distances(points, new, queries[active]), np.inf).astype(np.float32)
-        all_far = np.concatenate([far[active], gaps], axis=1)
-        order = np.argsort(all_far, axis=1, kind="stable")[:, :beam]
+        all_far = np.concatenate([far[active], np.where(new >= 0, gaps(new, active), np.inf).astype(np.float32)], axis=1)
+        order = np.argpartition(all_far, beam - 1, axis=1)[:, :beam]
         far[active] = np.take_along_axis(all_far, order, 1)
         nodes[active] = np.take_along_axis(np.concatenate([some_nodes, new], axis=1), order, 1)
         done[active] = np.take_along_axis(np.concatenate([some_done, new < 0], axis=1), order, 1)
         active = active[~done[active].all(axis=1)]
-    return nodes, far
+    order = np.argsort(far, axis=1, kind="stable")
+    return np.take_along_axis(nodes, order, 1), np.take_along_axis(far, order, 1)
 
 
 def robust_prune(points: np.ndarray, of: np.ndarray, candidates: np.ndarray) -> np.ndarray:
