@@ -32,6 +32,8 @@ from tallgrass.plans.workers import tidy
 
 BANDS = 12
 ROWS = 4
+#: Lines of a band's list that are compared pair by pair; longer lists are joined by rarest shingles.
+SHORT_LIST = 8
 #: Characters of text handled at once, about.
 CHUNK = 1 << 19
 #: Bytes of wanted lines' places that are sent to all executors at most; more are joined by a shuffle.
@@ -207,7 +209,7 @@ def fuzzy_lines(docs: DataFrame, width: int = 7, percent: int = 80) -> DataFrame
         sets = texts.join(nodes.select("node"), "node").mapInArrow(_sets(width), "node long, n long, shingles array<long>")
         return sets.join(nodes, "node") if len(nodes.columns) > 1 else sets
 
-    roots = linked(shared.select("entry", "node"), sets_of, first, confirm, percent)
+    roots = linked(shared.select("entry", "node"), sets_of, first, confirm, percent, short=SHORT_LIST)
 
     named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("low").alias("first"))

@@ -143,13 +143,22 @@ def _several(entries: DataFrame, roots: DataFrame) -> DataFrame:
     return apart.join(lists, "entry")
 
 
-def linked(entries: DataFrame, sets_of: Callable[[DataFrame], DataFrame], links: DataFrame, confirm: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+def linked(entries: DataFrame, sets_of: Callable[[DataFrame], DataFrame], links: DataFrame, confirm: Callable[[DataFrame], DataFrame], percent: int, short: int = 0) -> DataFrame:
     """node, root of every linked node: ``links`` (a, b) and all links between nodes that share an entry.
 
     ``entries`` holds entry and node; ``sets_of`` returns node, n and shingles of nodes (and their other columns);
-    ``confirm`` returns the links among pairs (a, b).
+    ``confirm`` returns the links among pairs (a, b). Lists of up to ``short`` entries are taken pair by pair; the
+    others are never expanded.
     """
-    prefix = stash(_several(entries, components(links)).select("entry", "node"), "nd-prefix")
+    prefix = _several(entries, components(links)).select("entry", "node", "root")
+    if short:
+        lengths = prefix.groupBy("entry").agg(F.count(F.lit(1)).alias("length"))
+        several = stash(prefix.join(lengths, "entry"), "nd-several")
+        x, y = (several.where(F.col("length") <= short).select("entry", F.col("node").alias(k), F.col("root").alias(f"root_{k}")) for k in "ab")
+        pairs = x.join(y, "entry").where("a < b AND root_a != root_b").select("a", "b").distinct()
+        links = stash(links.unionByName(confirm(pairs)), "nd-short")
+        prefix = several.where(F.col("length") > short)
+    prefix = stash(prefix.select("entry", "node"), "nd-prefix")
     open_sets = sets_of(prefix.select("node").distinct())
     single = open_sets.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle")
     single = single.agg(F.count(F.lit(1)).alias("in"), F.min("node").alias("node")).where("in = 1")
