@@ -3,8 +3,10 @@
 Markup is stripped into lines, one for each block; elements that hold menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles or comments leave a run of blank lines instead. The lengths of ``WINDOW`` lines are
 added up at every line; text surges where that sum rises from nothing and dives where it falls back to nothing, and
-of the stretches between, those with the article's share of the text are kept whole, short lines included. Where a
-page marks its article or main element, lines outside it count as blank and every stretch inside it is kept.
+every stretch between that has a line of other text than links is kept whole, short lines included. Menus count as
+blank: lines that are links for the most part, if they follow one another, make up a list or hold several links; a
+lone link among other text is text. Where a page marks its article or main element, lines outside it count as blank and
+all lines inside it are kept.
 
 Defined cases: null or empty html gives empty text; unclosed markup ends with the page; only page_id, url and html
 are read; rows are handled one by one, so ties and repeated rows do not matter.
@@ -21,9 +23,7 @@ from pyspark.sql import DataFrame
 
 #: Lines in a block sum; removed elements leave as many blank lines, so that sums fall to nothing there.
 WINDOW = 3
-#: A stretch is kept if it has at least this share of the longest stretch's characters.
-SHARE = 0.2
-#: A line of which links are more than this share is navigation.
+#: A line of which links are more than this share is a line of links.
 LINKS = 0.6
 
 SCHEMA = "page_id long, url string, text string, n_chars long"
@@ -54,6 +54,7 @@ _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
 _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 _CHROME, _BLOCKS, _VOID, _ROLES, _MARKS = (frozenset(x.split()) for x in (CHROME, BLOCKS, VOID, ROLES, MARKS))
+_LISTS = frozenset(("ul", "ol", "dl", "dir"))
 _CONTENT = frozenset(("main", "body", "html"))
 
 
@@ -74,22 +75,34 @@ def _is_chrome(name: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def _lines(page: str) -> list[tuple[str, int, bool]]:
-    """Text, length of links, and if in an article or main element, of each block; blank where an element was removed."""
+def _collapsed(words: list[str]) -> str:
+    return " ".join(entities.unescape("".join(words)).split())
+
+
+#: Text, characters of it in links, number of links, number of the list that it is in (0: none), and if in an article
+#: or main element.
+Line = tuple[str, int, int, int, bool]
+BLANK: Line = ("", 0, 0, 0, False)
+
+
+def _lines(page: str) -> list[Line]:
+    """A line of each block; blank where an element was removed."""
     page = _RAW.sub(" ", page) if "<" in page else page
-    lines: list[tuple[str, int, bool]] = []
+    lines: list[Line] = []
     words: list[str] = []
-    linked = at = 0
+    in_links: list[list[str]] = []  # the words of each link of the line
+    lists: list[int] = []  # numbers of the lists that are open
+    at = n_lists = 0
     skipped, depth = "", 0  # the element that is being left out, and how deep its own name is nested
     resume: tuple[int, int] | None = None
     articles = links = 0
 
     def end_line() -> None:
-        nonlocal words, linked
-        text = " ".join(entities.unescape("".join(words)).split())
-        if text:
-            lines.append((text, linked, articles > 0))
-        words, linked = [], 0
+        nonlocal words, in_links
+        if text := _collapsed(words):
+            own = [len(x) for x in map(_collapsed, in_links) if x]
+            lines.append((text, sum(own), len(own), lists[-1] if lists else 0, articles > 0))
+        words, in_links = [], [[]] if links else []
 
     tags = list(_TAG.finditer(page))
     k = 0
@@ -112,48 +125,74 @@ def _lines(page: str) -> list[tuple[str, int, bool]]:
         if piece:
             words.append(piece)
             if links:
-                linked += len(piece)
+                in_links[-1].append(piece)
         at = tag.end()
         if name == "a":
             links = 0 if closing else 1
+            if links:
+                in_links.append([])
             continue
         if name not in _BLOCKS and not attributes:
             continue
         if not closing and name not in _VOID and not attributes.endswith("/") and _is_chrome(name, attributes, articles > 0):
+            links = 0
             end_line()
-            lines.extend([("", 0, False)] * WINDOW)
-            skipped, depth, resume, links = name, 1, None, 0
+            lines.extend([BLANK] * WINDOW)
+            skipped, depth, resume = name, 1, None
             continue
         if name in _BLOCKS:
             end_line()
+        if name in _LISTS:
+            if not closing:
+                n_lists += 1
+                lists.append(n_lists)
+            elif lists:
+                lists.pop()
         if name in ("article", "main"):
             articles = max(0, articles + (-1 if closing else 1))
     if not skipped:
         words.append(page[at:])
+        if links:
+            in_links[-1].append(page[at:])
         end_line()
     return lines
 
 
+def _menus(lines: list[Line], of_links: list[bool]) -> list[bool]:
+    """Which of the lines of links are menus and not links among other text."""
+    menus, k = [False] * len(lines), 0
+    while k < len(lines):
+        end = k + 1
+        if of_links[k]:
+            while end < len(lines) and of_links[end]:
+                end += 1
+            own = lines[k][3]
+            around = {lines[j][3] for j in (k - 1, end) if 0 <= j < len(lines)}
+            menus[k:end] = [end - k > 1 or lines[k][2] > 1 or own > 0 and own not in around] * (end - k)
+        k = end
+    return menus
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
     lines = _lines(page)
-    marked = any(inside for _, _, inside in lines)  # the page says itself where its article is
-    sizes = [0 if linked > LINKS * len(text) or inside < marked else len(text) for text, linked, inside in lines]
+    marked = any(inside for *_, inside in lines)  # the page says itself where its article is
+    of_links = [not marked and linked > LINKS * len(text) for text, linked, *_ in lines]
+    sizes = [0 if menu or line[4] < marked else len(line[0]) for line, menu in zip(lines, _menus(lines, of_links))]
     sums, total = [], 0  # of WINDOW lines from each on
     for k in range(len(sizes) - 1, -1, -1):
         total += sizes[k] - (sizes[k + WINDOW] if k + WINDOW < len(sizes) else 0)
         sums.append(total)
     sums.reverse()
-    stretches, begun = [], None
+    kept, begun = [], None
     for k, block in enumerate([*sums, 0]):
         if block and begun is None:
             begun = k  # surge
         elif not block and begun is not None:
-            stretches.append((sum(sizes[begun:k]), begun, k))  # dive
+            if any(sizes[j] and not of_links[j] for j in range(begun, k)):
+                kept.append((begun, k))  # dive
             begun = None
-    most = max((x[0] for x in stretches), default=0)
-    kept = [(a, b) for size, a, b in stretches if marked or size >= SHARE * most]
     return "\n".join(lines[k][0] for a, b in kept for k in range(a, b) if sizes[k])
 
 

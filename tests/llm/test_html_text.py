@@ -16,6 +16,29 @@ def test_without_article_element():
     assert main_text(page) == ("Long text here. " * 9).strip() + "\nb"
 
 
+def test_short_stretches_of_a_long_article():
+    """Text after a removed element stays, however long what comes before is."""
+    long = ("Long text here. " * 200).strip()
+    for removed in ("<div class=ad>Buy</div>", "<aside>See</aside>", "<form>Mail</form>", "<ul><li><a href=/a>A</a><li><a href=/b>B</a></ul>"):
+        page = f"<div class=content><p>{long}</p>{removed}<p>The closing words.</p></div>"
+        assert main_text(page) == long + "\nThe closing words.", removed
+        assert main_text(f"<div><p>Start.</p>{removed}</div><div><p>{long}</p></div>") == "Start.\n" + long, removed
+
+
+def test_lines_of_links():
+    prose = "Words &amp; more words that nobody links to."
+    text = "Words & more words that nobody links to."
+    for line in ("<p><a href=/x>A paragraph that is a link</a></p>", "<ul><li><a href=/x>A paragraph that is a link</a></li><li>Other</li></ul>"):
+        own = "A paragraph that is a link" + ("\nOther" if "Other" in line else "")
+        for around in ("<article>%s</article>", "<main>%s</main>", "<div>%s</div>"):
+            assert main_text(around % f"<p>{prose}</p>{line}<p>{prose}</p>") == f"{text}\n{own}\n{text}", (line, around)
+    links = "<ul><li><a href=/a>One</a></li><li><a href=/b>Two</a></li></ul>"
+    assert main_text(f"<article><p>{prose}</p>{links}</article>") == f"{text}\nOne\nTwo"
+    assert main_text(f"<div><p>{prose}</p>{links}</div>") == text
+    assert main_text(f"<div><a href=/>Home</a> | <a href=/b>More</a></div><p>{prose}</p>") == text
+    assert main_text("<p><a href=/x>&quot;&quot;&quot;   \n   x</a> and words that are no link at all</p>") == '""" x and words that are no link at all'
+
+
 def test_unclosed_and_odd_markup():
     assert main_text(None) == main_text("") == main_text("<nav>x</nav>") == ""
     assert main_text("plain") == "plain"
