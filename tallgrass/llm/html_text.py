@@ -6,7 +6,9 @@ added up at every line; text surges where that sum rises from nothing and dives
 every stretch between that has a line of other text than links is kept whole, short lines included. Menus count as
 blank: lines that are links for the most part, if they follow one another, make up a list or hold several links; a
 lone link among other text is text. Where a page marks its article or main element, lines outside it count as blank and
-all lines inside it are kept.
+all lines inside it are kept. A class or id marks an element as furniture if a whole name of it does, apart from words
+of layout (ad-slot, site-header, but not has-comments); the longest article or main element of a page and what holds it
+are never removed.
 
 Defined cases: null or empty html gives empty text; unclosed markup ends with the page; only page_id, url and html
 are read; rows are handled one by one, so ties and repeated rows do not matter.
@@ -45,15 +47,25 @@ MARKS = (
     "pagination popup promo promoted recommended related replies respond share sharing sidebar signup skip social sponsor "
     "sponsored subscribe tags toolbar widget"
 )
+#: Words that may stand beside those in a name, for they say where or how an element is laid out and not what it holds.
+LAYOUT = (
+    "area bar block bottom box btn button center col column container content footer form global group head header holder icon "
+    "icons inner item items js left level line link links list main mobile outer overlay panel primary right row secondary "
+    "section site slot sticky sub top unit wrap wrapper"
+)
 
 _RAW = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(" + RAW.replace(" ", "|") + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>",
     re.S | re.I,
 )
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
-_NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_NAMED = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 _CHROME, _BLOCKS, _VOID, _ROLES, _MARKS = (frozenset(x.split()) for x in (CHROME, BLOCKS, VOID, ROLES, MARKS))
+_LAID_OUT = _MARKS | frozenset(LAYOUT.split())
+_HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+_HEADERS = frozenset(("header", "masthead", "banner"))  # these hold titles in an article and in such parts of a page:
+_PARTS = frozenset(("content", "section", "item", "group", "box"))
 _LISTS = frozenset(("ul", "ol", "dl", "dir"))
 _CONTENT = frozenset(("main", "body", "html"))
 
@@ -69,12 +81,53 @@ def _is_chrome(name: str, attributes: str, in_article: bool) -> bool:
             if value in _ROLES:
                 return True
         elif name in _BLOCKS or name == "span":
-            parts = value.split()
-            if any(p in _MARKS or _MARKS.intersection(_WORD.findall(p)) for p in parts):
-                return True
+            if name in _HEADINGS and kind.lower() == "id":
+                continue  # names what the heading says
+            for own in map(_WORD.findall, value.split()):
+                marks = _MARKS - _HEADERS if in_article or _PARTS.intersection(own) else _MARKS
+                if marks.intersection(own) and _LAID_OUT.issuperset(own):
+                    return True
+    return False
+
+
+def _ends(tags: list[re.Match], k: int, last: int) -> bool:
+    """If the element that tag ``k`` begins ends before tag ``last``."""
+    name, depth = tags[k][2].lower(), 1
+    for tag in tags[k + 1 : last]:
+        own = tag[2].lower()
+        if own == name and not tag[3].endswith("/"):
+            depth += -1 if tag[1] else 1
+        if not depth or tag[1] and own in ("body", "html"):
+            return True
     return False
 
 
+def _page_article(page: str, tags: list[re.Match]) -> int:
+    """The tag that begins the article or main element with the most text, or -1."""
+    best, longest, total, at = -1, -1, 0, 0
+    opened: list[tuple[str, int, int]] = []
+    for k, tag in enumerate(tags):
+        total += len(page[at : tag.start()].strip())
+        at = tag.end()
+        name = tag[2].lower()
+        if name not in ("article", "main"):
+            continue
+        if not tag[1]:
+            opened.append((name, k, total))
+        elif any(own == name for own, *_ in opened):
+            while True:
+                own, begin, before = opened.pop()
+                if total - before > longest:
+                    best, longest = begin, total - before
+                if own == name:
+                    break
+    total += len(page[at:].strip())
+    for _, begin, before in reversed(opened):
+        if total - before > longest:
+            best, longest = begin, total - before
+    return best
+
+
 def _collapsed(words: list[str]) -> str:
     return " ".join(entities.unescape("".join(words)).split())
 
@@ -105,6 +158,7 @@ def _lines(page: str) -> list[Line]:
         words, in_links = [], [[]] if links else []
 
     tags = list(_TAG.finditer(page))
+    own_article = _page_article(page, tags)
     k = 0
     while k < len(tags):
         tag = tags[k]
@@ -134,7 +188,8 @@ def _lines(page: str) -> list[Line]:
             continue
         if name not in _BLOCKS and not attributes:
             continue
-        if not closing and name not in _VOID and not attributes.endswith("/") and _is_chrome(name, attributes, articles > 0):
+        chrome = not closing and name not in _VOID and not attributes.endswith("/") and _is_chrome(name, attributes, articles > 0)
+        if chrome and (k > own_article + 1 or k <= own_article and _ends(tags, k - 1, own_article)):
             links = 0
             end_line()
             lines.extend([BLANK] * WINDOW)

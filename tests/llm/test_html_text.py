@@ -39,6 +39,26 @@ def test_lines_of_links():
     assert main_text("<p><a href=/x>&quot;&quot;&quot;   \n   x</a> and words that are no link at all</p>") == '""" x and words that are no link at all'
 
 
+def test_names_that_only_hold_a_mark():
+    for kind in ('class="post has-comments"', 'class="tag-ad"', 'id="page" class="no-ads"', 'class="content with-sidebar"', 'data-id="comments"'):
+        for name in ("article", "div", "section"):
+            assert main_text(f"<{name} {kind}><p>The text of it.</p></{name}>") == "The text of it.", (kind, name)
+    title = "<h2 id=advertising>Title</h2>"
+    for own in ("article-header", "header", "entry-header"):
+        assert main_text(f"<article><div class={own}>{title}</div><p>The text.</p></article>") == "Title\nThe text."
+    for kind in ("ad-slot-1", "site-header", "ad_container", "x comments", "sidebar-left", "cookie-banner", "main-nav"):
+        assert main_text(f"<p>The text.</p><div class='{kind}'>Other</div>") == "The text.", kind
+
+
+def test_the_article_of_the_page_stays():
+    article = "<article class=comments><p>The text of the page, longer than others.</p><div class=ad>Buy</div><p>End.</p></article>"
+    text = "The text of the page, longer than others.\nEnd."
+    other = "<article class=comment><p>Another says.</p></article>"
+    for holder in ("%s", "<form id=aspnet>%s</form>", "<div class=sidebar><p>x</p><div class=widget>%s</div></div>", "<aside role=dialog>%s", "<main class=banner>%s</main>"):
+        assert main_text("<div class=menu>Menu</div>" + holder % article + "<div class=comments>" + other + "</div>") == text, holder
+        assert main_text(other + holder % article) == text, holder
+
+
 def test_unclosed_and_odd_markup():
     assert main_text(None) == main_text("") == main_text("<nav>x</nav>") == ""
     assert main_text("plain") == "plain"
