@@ -7,9 +7,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from tallgrass.llm import contamination, language, mixing, near_dups, tokens
-from tallgrass.llm.joins import without
 from tallgrass.llm.queries import tokenizer_file
-from tallgrass.plans.durable import scratch, stash
+from tallgrass.plans.durable import scratch
 from tallgrass.plans.workers import lean_batches
 from tallgrass.sources.tables import table
 
@@ -21,8 +20,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that with the least id."""
-    gone = near_dups.near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return without(docs, stash(gone, "pipeline-copies"))
+    return near_dups.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

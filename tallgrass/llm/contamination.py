@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallgrass.llm.joins import small, without
+from tallgrass.llm.joins import keyed, small, without
 from tallgrass.plans.durable import stash
 
 
@@ -94,6 +94,6 @@ def contained_items(docs: DataFrame, items: DataFrame, width: int = 5, percent:
 
 
 def without_items(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that contain none of ``items``, all columns kept."""
-    dirty = contained_items(docs, items, **options).select("doc_id").distinct()
+    """The rows of ``docs`` that contain none of ``items``, all columns kept; a row is judged by its own text."""
+    dirty = contained_items(keyed(docs), items, **options).select("doc_id").distinct()
     return without(docs, stash(dirty, "bench-dirty"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Rows of a few numbers that are sent to all executors at most (some 30 MB); more are joined by a shuffle.
@@ -14,7 +14,17 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns kept, whose doc_id isn't in the one column of ``ids``."""
-    gone = small(ids.toDF("_gone_id"))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone_id"]), "left_anti")
+def row_key() -> Column:
+    """A 64-bit hash that tells rows apart by doc_id and text; rows that repeat both share it."""
+    return F.xxhash64("doc_id", "text")
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id and text of every row, with its ``row_key`` as doc_id, so that rows are judged one by one."""
+    return docs.select(row_key().alias("doc_id"), "text")
+
+
+def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns kept, whose ``row_key`` isn't in the one column of ``keys``."""
+    gone = small(keys.toDF("_gone_key"))
+    return docs.withColumn("_row_key", row_key()).join(gone, F.col("_row_key") == F.col("_gone_key"), "left_anti").drop("_row_key")

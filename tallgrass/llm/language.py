@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallgrass.llm.joins import without
+from tallgrass.llm.joins import keyed, without
 from tallgrass.llm.shingles import chunks, utf8
 from tallgrass.plans.durable import stash
 from tallgrass.plans.workers import tidy
@@ -231,7 +231,7 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
 def accepted(docs: DataFrame, net: Network | None, least: float = 0.35) -> DataFrame:
     """The rows of ``docs``, all columns kept, whose language is known with a score of at least ``least``.
 
-    Rows are judged by id: all rows of an id go if one of them is rejected.
+    Rows are judged by their own text, whatever others have their id.
     """
-    bad = identify(docs, net).where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)).select("doc_id").distinct()
+    bad = identify(keyed(docs), net).where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)).select("doc_id").distinct()
     return without(docs, stash(bad, "lang-rejected"))

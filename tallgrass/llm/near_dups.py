@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallgrass.llm.components import components
-from tallgrass.llm.joins import small
+from tallgrass.llm.joins import keyed, row_key, small, without
 from tallgrass.llm.shingles import chunks, shingle_sets, signatures, utf8
 from tallgrass.plans.durable import stash
 from tallgrass.plans.workers import tidy
@@ -132,6 +132,34 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, coordina
     return whole.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """One row of each group of near-duplicates, all columns kept: that with the least id (null ids come last).
+
+    Rows with an empty set link with nothing and stay. Of rows that repeat id and text, the first by the rest of their
+    columns stays.
+    """
+    found = near_duplicates(keyed(docs), **options).where("n_shingles > 0")
+    found = found.groupBy(F.col("doc_id").alias("key"), F.col("component_id").alias("component")).agg(F.count(F.lit(1)).alias("rows"))
+    found = stash(found, "nd-keys")
+    groups = found.groupBy(F.col("component").alias("of")).agg(F.sum("rows").alias("all")).where(F.col("all") > 1).select("of")
+    grouped = stash(found.join(groups, F.col("component") == F.col("of"), "left_semi"), "nd-groups")
+    wanted = small(grouped.select(F.col("key").alias("_wanted")))
+    ids = docs.select(row_key().alias("own_key"), "doc_id").join(wanted, F.col("own_key") == F.col("_wanted"), "left_semi")
+    ids = ids.groupBy("own_key").agg(F.min("doc_id").alias("doc_id"))
+    known = grouped.join(ids, F.col("key") == F.col("own_key")).select("component", "key", "doc_id", "rows")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")).alias("first")
+    first = known.groupBy(F.col("component").alias("of")).agg(first).select("of", F.col("first.key").alias("stays"))
+    known = stash(known.join(first, F.col("component") == F.col("of")), "nd-known")
+    left = without(docs, known.where("key != stays").select("key"))
+    again = known.where("key = stays AND rows > 1").select("key")
+    if again.isEmpty():
+        return left
+    rest = F.to_json(F.struct(*(c for c in docs.columns if c not in ("doc_id", "text"))))
+    keyed_rows = left.withColumn("_again_key", row_key()).join(small(again.toDF("_again")), F.col("_again_key") == F.col("_again"), "left_semi")
+    single = keyed_rows.groupBy("_again_key").agg(F.min_by(F.struct(*docs.columns), rest).alias("_row")).select("_row.*")
+    return without(left, again).unionByName(single)
+
+
 def _sizes_fit(percent: int) -> Column:
     return (F.col("n_a") * percent <= F.col("n_b") * 100) & (F.col("n_b") * percent <= F.col("n_a") * 100)
 

@@ -46,3 +46,23 @@ def test_stages_take_odd_and_empty_tables(spark, make_docs):
             out = stage(spark, docs, DATA)
             assert out.columns == (docs.columns if name != "token-ID / binary output" else ["doc_id", "start", "n_tokens", "ids"])
             assert out.count() <= 2 * docs.count()
+
+
+def test_filters_decide_row_by_row(spark, make_docs, prose):
+    """Rows without an id and rows that share one do not go with each other."""
+    base, copied = prose(1, 80), prose(2, 80)
+    item = spark.read.parquet(f"{DATA}/benchmark.parquet").where("length(text) > 60").first().text
+    stages = dict(corpus_pipeline.STAGES)
+    clean = [(None, prose(10 + k, 60), "en", "a") for k in range(4)] + [(7, prose(20, 60), "en", "a")]
+
+    def left(stage, rows):
+        return sorted(((r.doc_id, r.text) for r in stages[stage](spark, make_docs(rows), DATA).collect()), key=str)
+
+    both = lambda rows: sorted(((r[0], r[1]) for r in rows), key=str)
+    real = [tuple(r) for r in spark.read.parquet(f"{DATA}/documents.parquet").where("length(text) > 200").select("doc_id", "text", "lang", "source").collect()]
+    real += [(None, *r[1:]) for r in real[:4]]
+    assert left("language ID", [*real, (None, None, "en", "a"), (real[0][0], "%%", "en", "a")]) == both(real)
+    assert left("benchmark decontamination", [*clean, (None, item, "en", "a"), (7, item, "en", "a")]) == both(clean)
+    near = [(3, base, "en", "a"), (None, base + " end", "en", "a"), (7, base + " more", "en", "a"), (3, base, "en", "b")]
+    near += [(None, copied, "en", "a")] * 3 + [(5, "", "en", "a"), (6, None, "en", "a")]
+    assert left("MinHash near-dedup", [*clean, *near]) == both([*clean, near[0], near[4], *near[-2:]])
