@@ -98,6 +98,18 @@ def _contexts(length: int):
     return run
 
 
+def _once(batch: pa.RecordBatch, last: tuple | None) -> tuple[pa.RecordBatch, tuple | None]:
+    """``batch``, in order, less rows that name the run of the row before them, as rows with one id and text do; its
+    last run, and ``last`` is that of the batch before."""
+    if not batch.num_rows:
+        return batch, last
+    doc = batch.column(1)
+    columns = [batch.column(0).to_numpy(), doc.fill_null(0).to_numpy(), doc.is_null().to_numpy(zero_copy_only=False), batch.column(2).to_numpy(), batch.column(3).to_numpy()]
+    new = np.append(tuple(x[0] for x in columns) != last, np.logical_or.reduce([x[1:] != x[:-1] for x in columns]))
+    last = tuple(x[-1] for x in columns)
+    return batch if new.all() else batch.filter(pa.array(new)), last
+
+
 def _sorted(length: int):
     """Spans of windows that repeat an earlier one, of runs in order of anchor string, document and place."""
 
@@ -118,8 +130,11 @@ def _sorted(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        size = 0
+        size, last = 0, None
         for batch in batches:
+            batch, last = _once(batch, last)
+            if not batch.num_rows:
+                continue
             strings, sizes = batch.column(0).to_numpy(), np.diff(utf8(batch.column(4))[1])
             at = 0
             for cut in np.append(np.flatnonzero(np.diff(strings)) + 1, len(strings)).tolist():
@@ -194,7 +209,7 @@ def repeated_spans(docs: DataFrame, length: int = 100) -> DataFrame:
         .select("doc_id", "sign", "place", F.when((F.col("nth") == 1) & ~F.col("again"), F.col("string")).alias("string"))
     )
     found = stash(found, "rs-runs")
-    opened = found.where("string IS NOT NULL").groupBy("doc_id", "sign").agg(F.collect_list(F.struct("place", "string")).alias("open"))
+    opened = found.where("string IS NOT NULL").groupBy("doc_id", "sign").agg(F.collect_set(F.struct("place", "string")).alias("open"))
     opened = stash(opened.withColumnsRenamed({"doc_id": "o_id", "sign": "o_sign"}), "rs-open")
     texts = own.join(_sent(opened, F.size("open") * 16 + 64), F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col("sign") == F.col("o_sign")))
     contexts = texts.select("doc_id", "sign", "text", "open").mapInArrow(tidy(_contexts(length)), "string long, doc_id long, sign long, place long, bytes binary")

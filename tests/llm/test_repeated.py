@@ -82,3 +82,15 @@ def test_repeated_rows_are_one_document(spark, make_docs, prose):
     assert [r.n_removed for r in found if r.doc_id == 5] == [0, 0]
     assert [r.n_removed for r in found if r.doc_id == 6] == [len(text)]
     assert remove_repeats(make_docs([]), 50).collect() == []
+
+
+def test_repeated_rows_with_open_runs(spark, make_docs, prose):
+    """What a repeated row has in common with others in part is kept by all of its rows if it comes first."""
+    shared = prose(1, 60)
+    for first in (5, None):
+        docs = [(first, shared + prose(2, 60)), (6, shared + prose(3, 60)), (7, prose(4, 20) + shared + prose(5, 60))]
+        expected = brute(docs, 50)
+        found = remove_repeats(make_docs([docs[0]] * 3 + docs[1:] + docs[-1:]), 50).collect()
+        assert len(found) == 6 and expected[first][1] == 0 and expected[7][1] > 0
+        for r in found:
+            assert tuple(r)[1:] == expected[r.doc_id], r.doc_id
