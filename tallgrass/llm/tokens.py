@@ -5,8 +5,8 @@ it needs (Parquet keeps a column and an offset index per page). A document's glo
 part plus the ids of all earlier parts, so nothing is numbered in one task.
 
 Defined cases: null or empty text gives the end id alone; null ids come first; rows with one id are ordered by text;
-an empty table gives an empty file set; only doc_id and text are read. A special token's string in a text is ordinary
-text.
+an empty table gives an empty file set; only doc_id and text are read. A special token's string in a text gives that
+token's id, as the library has it by default; an ``Encoder`` can take it as ordinary text instead.
 """
 
 from __future__ import annotations
@@ -61,15 +61,17 @@ class Encoder:
     Where white space stands alone, each space begins a pre-token that it shares with what follows and each newline is
     one, and punctuation after an ASCII letter begins another, so a text can be cut there and each piece encoded by
     itself. Pieces of many texts are cut and told apart by 64-bit hashes at once (lengths are compared too), so that
-    Python handles the distinct ones only. Texts with other white space are encoded as they are.
+    Python handles the distinct ones only. Texts with other white space are encoded as they are, and unless ``literal``
+    takes the strings of special tokens as ordinary text, so are texts with the string of an added token.
     """
 
-    def __init__(self, path: str, end_id: int):
+    def __init__(self, path: str, end_id: int, literal: bool = True):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = literal
+        self.added = [] if literal else [x.content.encode() for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.end_id = end_id
         vocabulary = self.tokenizer.get_vocab()
         self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)  # bytes: a token's string has a character for each
@@ -140,7 +142,7 @@ class Encoder:
         """The ids of all texts (UTF-8, and where each begins and ends) one after another, each with the end id, and
         how many each has."""
         kind, n = _CLASS[data], len(offsets) - 1
-        odd = _odd_texts(data, offsets, kind)
+        odd = _odd_texts(data, offsets, kind, self.added)
         first = np.zeros(len(data) + 1, bool)
         first[offsets] = True
         cut = first[:-1].copy()
@@ -176,8 +178,8 @@ class Encoder:
         return ids, np.diff(total[of[1:] + np.arange(n)], prepend=0)
 
 
-def _odd_texts(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> np.ndarray:
-    """Texts whose white space isn't all single spaces and newlines between other characters."""
+def _odd_texts(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray, strings: list[bytes]) -> np.ndarray:
+    """Texts whose white space isn't all single spaces and newlines between other characters, or with one of ``strings``."""
     bad = kind == 8
     space = kind == 4
     bad[1:] |= space[1:] & space[:-1]
@@ -185,7 +187,7 @@ def _odd_texts(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> np.nd
     bad[offsets[:-1][full]] |= space[offsets[:-1][full]]
     bad[offsets[1:][full] - 1] |= space[offsets[1:][full] - 1]
     raw, seen = data.tobytes(), np.bincount(data, minlength=256)
-    for wide in _WIDE_SPACE:
+    for wide in [*_WIDE_SPACE, *strings]:
         at = raw.find(wide) if seen[wide[0]] else -1
         while at >= 0:
             bad[at] = True
@@ -256,7 +258,7 @@ def _free_when_idle() -> None:
 
 def encode_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
     """Batches of doc_id, text as batches of SCHEMA; a worker's encoder serves all its tasks."""
-    encode = _ENCODERS.get((path, end_id)) or _ENCODERS.setdefault((path, end_id), Encoder(path, end_id))
+    encode = _ENCODERS.get((path, end_id)) or _ENCODERS.setdefault((path, end_id), Encoder(path, end_id, literal=False))
     part, at = TaskContext.get().partitionId(), 0
     while _FREEING:
         _FREEING.pop().cancel()

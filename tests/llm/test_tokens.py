@@ -78,3 +78,16 @@ def test_empty_table(spark, make_docs):
     path = scratch(spark, "tokens-none")
     K.write_tokens(make_docs([]), path, tokenizer_file())
     assert K.with_crc(K.read_tokens(spark, path)).collect() == []
+
+
+def test_special_tokens_as_the_library_has_them(spark, make_docs, prose):
+    """Written files have the ids of the library's own defaults, whatever is in a text, of one part or of many."""
+    tokenizer = Tokenizer.from_file(tokenizer_file())
+    mark = "<|endoftext|>"
+    texts = [f"hello {mark} world", f"a{mark}b", mark, f"{mark} {mark}\n{mark}", "<|endoftext |> <|endoftext", f"é{mark}é", prose(1, 30), f"a  b{mark}  c", "wort " * 500_000 + mark + " wort" * 1_000_000]
+    path = scratch(spark, "tokens-special")
+    K.write_tokens(make_docs(list(enumerate(texts))).repartition(2), path, tokenizer_file())
+    found = K.read_tokens(spark, path).orderBy("doc_id").collect()
+    assert found[0].ids == [31373, 220, 50256, 995, 2]
+    for r, text in zip(found, texts, strict=True):
+        assert r.ids == [*tokenizer.encode(text, add_special_tokens=False).ids, 2], text[:60]
