@@ -38,6 +38,31 @@ def test_stash_is_read_back_from_the_shared_folder(spark):
         kept.count()
 
 
+def test_passing_results_are_deleted(spark):
+    with durable.passing(spark) as outer:
+        with durable.passing(spark) as keep:
+            gone, kept, passed = (durable.stash(spark.range(3), f"passing-{k}") for k in range(3))
+            keep(kept, passed)
+        assert kept.count() == passed.count() == 3
+        with pytest.raises(Exception):
+            gone.count()
+        outer(passed)
+    assert passed.count() == 3
+    with pytest.raises(Exception):
+        kept.count()
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    class Session:
+        conf = {}
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        durable.shared_dir(Session)
+
+
 def test_table_keeps_columns(spark):
     assert {"doc_id", "text"} <= set(table(spark, DATA + "/", "documents").columns)
 
