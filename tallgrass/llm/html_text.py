@@ -5,19 +5,26 @@ adverts, forms, scripts, styles or comments leave a run of blank lines instead.
 added up at every line; text surges where that sum rises from nothing and dives where it falls back to nothing, and
 every stretch between that has a line of other text than links is kept whole, short lines included. Menus count as
 blank: lines that are links for the most part, if they follow one another, make up a list or hold several links; a
-lone link among other text is text. Where a page marks its article or main element, lines outside it count as blank and
-all lines inside it are kept. A class or id marks an element as furniture if a whole name of it does, apart from words
-of layout (ad-slot, site-header, but not has-comments); the longest article or main element of a page and what holds it
-are never removed.
+lone link among other text is text.
 
-Defined cases: null or empty html gives empty text; unclosed markup ends with the page; only page_id, url and html
-are read; rows are handled one by one, so ties and repeated rows do not matter.
+Names are evidence that sets lines to blank, and what is kept follows from the distribution. A class or id marks an
+element as furniture if a whole name of it does, apart from words of layout (ad-slot, site-header, but not
+has-comments), and then all that it holds, up to its end or the end that HTML implies; the longest article or main
+element of a page and what holds it are never furniture. Article and main elements are believed if they hold at least
+as much text as the longest stretch outside of them: then lines outside are blank, and lines of links inside are text.
+Otherwise they are teasers or comments beside the text, and blank themselves.
+
+Defined cases: null or empty html gives empty text; unclosed markup ends with the element around it or with the page,
+and so do unclosed comments, scripts and styles; quotes that never end are ordinary characters; only page_id, url and
+html are read; rows are handled one by one, so ties and repeated rows do not matter. A page takes time in proportion to
+its length.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,21 +38,24 @@ LINKS = 0.6
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
 # Elements by what they do to the text.
-RAW = "script style noscript template iframe svg math canvas object audio video textarea select head title"
+RAW = "script style noscript template iframe svg math canvas object audio video textarea select title"
 CHROME = "nav header footer aside form menu dialog button fieldset"
 BLOCKS = (
-    "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure "
-    "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section summary "
+    "address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption figure "
+    "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre search section summary "
     "table tbody td tfoot th thead tr ul"
 )
 VOID = "area base br col embed hr img input link meta param source track wbr"
 ROLES = "navigation banner contentinfo complementary search form alert dialog menu menubar"
+#: Elements whose end is implied by the next one of these, up to the element that holds them.
+ITEMS = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr", "td": "td th", "th": "td th", "option": "option"}
+HOLDERS = "ul ol dl dir menu table select"
 #: Words of class and id names that mark what is not the article.
 MARKS = (
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs byline comment comments consent "
+    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent "
     "cookie cookies copyright disclaimer disqus footer header masthead menu modal nav navbar navigation newsletter notice "
     "pagination popup promo promoted recommended related replies respond share sharing sidebar signup skip social sponsor "
-    "sponsored subscribe tags toolbar widget"
+    "sponsored subscribe toolbar widget"
 )
 #: Words that may stand beside those in a name, for they say where or how an element is laid out and not what it holds.
 LAYOUT = (
@@ -54,20 +64,25 @@ LAYOUT = (
     "section site slot sticky sub top unit wrap wrapper"
 )
 
-_RAW = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(" + RAW.replace(" ", "|") + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>",
-    re.S | re.I,
-)
-_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
-_NAMED = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'\s]))|[\"'])*+)>")
+#: For pages with a quote that never ends.
+_PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*+)([^<>]*+)>")
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']++)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++))")
 _WORD = re.compile(r"[a-z]+")
-_CHROME, _BLOCKS, _VOID, _ROLES, _MARKS = (frozenset(x.split()) for x in (CHROME, BLOCKS, VOID, ROLES, MARKS))
+_RAW_ENDS = {name: re.compile(rf"</{name}\b[^>]*+>", re.I) for name in RAW.split()}
+#: Of these nothing else but their end is markup; others that never end are ordinary elements.
+_TO_THE_END = frozenset(("script", "style", "textarea", "title"))
+_CHROME, _BLOCKS, _VOID, _ROLES, _MARKS, _HOLDERS = (frozenset(x.split()) for x in (CHROME, BLOCKS, VOID, ROLES, MARKS, HOLDERS))
+_ITEMS = {name: frozenset(x.split()) for name, x in ITEMS.items()}
 _LAID_OUT = _MARKS | frozenset(LAYOUT.split())
 _HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 _HEADERS = frozenset(("header", "masthead", "banner"))  # these hold titles in an article and in such parts of a page:
 _PARTS = frozenset(("content", "section", "item", "group", "box"))
 _LISTS = frozenset(("ul", "ol", "dl", "dir"))
+_ARTICLES = frozenset(("article", "main"))
 _CONTENT = frozenset(("main", "body", "html"))
+#: An open paragraph ends where one of these begins.
+_END_PARAGRAPH = _BLOCKS - {"br", "button", "option", "head", "body", "html"}
 
 
 def _is_chrome(name: str, attributes: str, in_article: bool) -> bool:
@@ -75,57 +90,153 @@ def _is_chrome(name: str, attributes: str, in_article: bool) -> bool:
         return True
     if not attributes or name in _CONTENT:
         return False
-    for kind, *values in _NAMED.findall(attributes):
+    for kind, *values in _ATTRIBUTE.findall(attributes):
+        kind = kind.lower()
+        if kind not in ("class", "id", "role"):
+            continue
         value = "".join(values).lower()
-        if kind.lower() == "role":
+        if kind == "role":
             if value in _ROLES:
                 return True
-        elif name in _BLOCKS or name == "span":
-            if name in _HEADINGS and kind.lower() == "id":
-                continue  # names what the heading says
+        elif not (name in _HEADINGS and kind == "id"):  # which names what the heading says
             for own in map(_WORD.findall, value.split()):
-                marks = _MARKS - _HEADERS if in_article or _PARTS.intersection(own) else _MARKS
+                marks = _MARKS - _HEADERS if in_article or name in _HEADINGS or _PARTS.intersection(own) else _MARKS
                 if marks.intersection(own) and _LAID_OUT.issuperset(own):
                     return True
     return False
 
 
-def _ends(tags: list[re.Match], k: int, last: int) -> bool:
-    """If the element that tag ``k`` begins ends before tag ``last``."""
-    name, depth = tags[k][2].lower(), 1
-    for tag in tags[k + 1 : last]:
-        own = tag[2].lower()
-        if own == name and not tag[3].endswith("/"):
-            depth += -1 if tag[1] else 1
-        if not depth or tag[1] and own in ("body", "html"):
-            return True
-    return False
-
+def _pieces(page: str) -> Iterator[tuple[str, str, str, str]]:
+    """Text, and the tag that ends it: its slash, name and attributes (empty at the end of the page).
 
-def _page_article(page: str, tags: list[re.Match]) -> int:
-    """The tag that begins the article or main element with the most text, or -1."""
-    best, longest, total, at = -1, -1, 0, 0
-    opened: list[tuple[str, int, int]] = []
-    for k, tag in enumerate(tags):
-        total += len(page[at : tag.start()].strip())
-        at = tag.end()
-        name = tag[2].lower()
-        if name not in ("article", "main"):
+    Comments and elements that hold no text are left out.
+    """
+    at, start, last, pattern = 0, page.find("<"), page.rfind(">"), _TAG
+    endless = set()  # elements of which no further end comes
+    while 0 <= start < last:
+        kind = page[start + 1]
+        if kind in "!?":
+            end = page.find("-->", start + 4) if page.startswith("<!--", start) else -2
+            if page.startswith("<![CDATA[", start):
+                end = page.find("]]>", start)
+            if end == -2:
+                end = page.find(">", start)
+                stop = end + 1
+            else:
+                stop = end + 3
+            yield page[at:start], "", "", ""
+            if end < 0:
+                return
+            at, start = stop, page.find("<", stop)
             continue
-        if not tag[1]:
-            opened.append((name, k, total))
-        elif any(own == name for own, *_ in opened):
-            while True:
-                own, begin, before = opened.pop()
-                if total - before > longest:
-                    best, longest = begin, total - before
-                if own == name:
+        found = pattern.match(page, start) if kind == "/" or kind.isalpha() else None
+        if found is None and pattern is _TAG and (kind.isalpha() or kind == "/" and page[start + 2 : start + 3].isalpha()):
+            pattern = _PLAIN_TAG
+            found = pattern.match(page, start)
+        if found is None:
+            start = page.find("<", start + 1)
+            continue
+        closing, name, attributes = found[1], found[2].lower(), found[3]
+        end = found.end()
+        if name in _RAW_ENDS:
+            stop = None if closing or name in endless or attributes.endswith("/") else _RAW_ENDS[name].search(page, end)
+            if stop is None and not closing and not attributes.endswith("/"):
+                endless.add(name)
+            if stop is not None or not closing and name in _TO_THE_END:
+                yield page[at:start], "", "", ""
+                if stop is None:
+                    return
+                end = stop.end()
+                at, start = end, page.find("<", end)
+                continue
+        yield page[at:start], closing, name, attributes
+        at, start = end, page.find("<", end)
+    yield page[at:], "", "", ""
+
+
+class _Page:
+    """Texts and the beginnings and ends of elements, implied ends included, in order."""
+
+    def __init__(self, page: str):
+        self.events: list[tuple[str, str, str]] = []  # text; or name and attributes
+        self.ends: dict[int, int] = {}  # of each element's beginning: the event after it
+        self.open: list[tuple[str, int]] = []
+        self.count: Counter[str] = Counter()
+        self.items: list[list[int]] = [[]]  # of each open list or table, how deep its open items are
+        self.paragraph = -1  # how deep the open paragraph is
+        for text, closing, name, attributes in _pieces(page):
+            if text:
+                self.events.append((text, "", ""))
+            if name == "a":
+                self.events.append(("", "/a" if closing else "a", ""))
+            elif name in _BLOCKS or name == "span":
+                self.end(name) if closing else self.begin(name, attributes)
+        while self.open:
+            self.pop()
+
+    def pop(self) -> str:
+        name, at = self.open.pop()
+        self.count[name] -= 1
+        self.ends[at] = len(self.events)
+        depth = len(self.open)
+        if self.paragraph == depth:
+            self.paragraph = -1
+        if name in _HOLDERS and len(self.items) > 1:
+            self.items.pop()
+        while self.items[-1] and self.items[-1][-1] >= depth:
+            self.items[-1].pop()
+        if name in _BLOCKS:
+            self.events.append(("", "/", name))
+        return name
+
+    def cut(self, depth: int) -> None:
+        while len(self.open) > depth:
+            self.pop()
+
+    def begin(self, name: str, attributes: str) -> None:
+        if name in _END_PARAGRAPH and self.paragraph >= 0:
+            self.cut(self.paragraph)
+        if name in _ITEMS:
+            own = self.items[-1]
+            for k, depth in enumerate(own):
+                if self.open[depth][0] in _ITEMS[name]:
+                    self.cut(depth)
+                    del own[k:]
                     break
-    total += len(page[at:].strip())
-    for _, begin, before in reversed(opened):
-        if total - before > longest:
-            best, longest = begin, total - before
-    return best
+        at = len(self.events)
+        self.events.append(("", name, attributes))
+        if name in _VOID or attributes.endswith("/"):
+            self.ends[at] = at + 1
+            return
+        depth = len(self.open)
+        self.open.append((name, at))
+        self.count[name] += 1
+        if name == "p":
+            self.paragraph = depth
+        if name in _ITEMS:
+            self.items[-1].append(depth)
+        if name in _HOLDERS:
+            self.items.append([])
+
+    def end(self, name: str) -> None:
+        if name == "span":  # ends within its block
+            if self.open and self.open[-1][0] == "span":
+                self.pop()
+        elif self.count[name]:
+            while self.pop() != name:
+                pass
+        else:
+            self.events.append(("", "/", name))
+
+    def article(self) -> int:
+        """The beginning of the article or main element with the most text, the inner one of equal ones, or -1."""
+        upto, total = [], 0
+        for text, _, _ in self.events:
+            upto.append(total)
+            total += len(text.strip())
+        upto.append(total)
+        sizes = [(upto[self.ends[k]] - upto[k], k) for k, (_, name, _) in enumerate(self.events) if name in _ARTICLES]
+        return max(sizes)[1] if sizes else -1
 
 
 def _collapsed(words: list[str]) -> str:
@@ -138,78 +249,60 @@ Line = tuple[str, int, int, int, bool]
 BLANK: Line = ("", 0, 0, 0, False)
 
 
-def _lines(page: str) -> list[Line]:
+def _lines(html: str) -> list[Line]:
     """A line of each block; blank where an element was removed."""
-    page = _RAW.sub(" ", page) if "<" in page else page
+    page = _Page(html)
+    own_article = page.article()
     lines: list[Line] = []
     words: list[str] = []
     in_links: list[list[str]] = []  # the words of each link of the line
     lists: list[int] = []  # numbers of the lists that are open
-    at = n_lists = 0
-    skipped, depth = "", 0  # the element that is being left out, and how deep its own name is nested
-    resume: tuple[int, int] | None = None
-    articles = links = 0
+    n_lists = articles = 0
+    link = False
 
     def end_line() -> None:
         nonlocal words, in_links
         if text := _collapsed(words):
             own = [len(x) for x in map(_collapsed, in_links) if x]
             lines.append((text, sum(own), len(own), lists[-1] if lists else 0, articles > 0))
-        words, in_links = [], [[]] if links else []
-
-    tags = list(_TAG.finditer(page))
-    own_article = _page_article(page, tags)
-    k = 0
-    while k < len(tags):
-        tag = tags[k]
-        closing, name, attributes = tag[1], tag[2].lower(), tag[3]
+        words, in_links = [], [[]] if link else []
+
+    k, events = 0, page.events
+    while k < len(events):
+        text, name, attributes = events[k]
         k += 1
-        if skipped:
-            if name == skipped and not attributes.endswith("/"):
-                depth += -1 if closing else 1
-            if not depth or closing and name in ("body", "html"):
-                skipped, resume, at = "", None, tag.end()
-            elif resume is None and not closing and name in ("article", "main"):
-                resume = (k - 1, tag.start())
-            if skipped and k == len(tags) and resume:  # it never ended: what looks like the article begins again
-                k, at = resume
-                skipped, resume = "", None
-            continue
-        piece = page[at : tag.start()]
-        if piece:
-            words.append(piece)
-            if links:
-                in_links[-1].append(piece)
-        at = tag.end()
-        if name == "a":
-            links = 0 if closing else 1
-            if links:
-                in_links.append([])
-            continue
-        if name not in _BLOCKS and not attributes:
-            continue
-        chrome = not closing and name not in _VOID and not attributes.endswith("/") and _is_chrome(name, attributes, articles > 0)
-        if chrome and (k > own_article + 1 or k <= own_article and _ends(tags, k - 1, own_article)):
-            links = 0
-            end_line()
-            lines.extend([BLANK] * WINDOW)
-            skipped, depth, resume = name, 1, None
-            continue
-        if name in _BLOCKS:
+        if text:
+            words.append(text)
+            if link:
+                in_links[-1].append(text)
+        elif name == "a":
+            link = True
+            in_links.append([])
+        elif name == "/a":
+            link = False
+        elif name == "/":  # of a block
             end_line()
-        if name in _LISTS:
-            if not closing:
+            if attributes in _LISTS and lists:
+                lists.pop()
+            elif attributes in _ARTICLES:
+                articles = max(0, articles - 1)
+        else:
+            end = page.ends[k - 1]
+            if not k - 1 <= own_article < end and name not in _VOID and _is_chrome(name, attributes, articles > 0):
+                link = False
+                end_line()
+                lines.extend([BLANK] * WINDOW)
+                # The event after an element is the end of its block, which has no beginning then.
+                k = max(k, end + (end < len(events) and events[end][1] == "/" and events[end][2] == name))
+                continue
+            if name in _BLOCKS:
+                end_line()
+            if name in _LISTS:
                 n_lists += 1
                 lists.append(n_lists)
-            elif lists:
-                lists.pop()
-        if name in ("article", "main"):
-            articles = max(0, articles + (-1 if closing else 1))
-    if not skipped:
-        words.append(page[at:])
-        if links:
-            in_links[-1].append(page[at:])
-        end_line()
+            elif name in _ARTICLES:
+                articles += 1
+    end_line()
     return lines
 
 
@@ -228,27 +321,39 @@ def _menus(lines: list[Line], of_links: list[bool]) -> list[bool]:
     return menus
 
 
-def main_text(page: str | None) -> str:
-    if not page:
-        return ""
-    lines = _lines(page)
-    marked = any(inside for *_, inside in lines)  # the page says itself where its article is
-    of_links = [not marked and linked > LINKS * len(text) for text, linked, *_ in lines]
-    sizes = [0 if menu or line[4] < marked else len(line[0]) for line, menu in zip(lines, _menus(lines, of_links))]
+def stretches(sizes: list[int]) -> list[tuple[int, int]]:
+    """From where the sum of ``WINDOW`` sizes surges from nothing to where it dives back to nothing."""
     sums, total = [], 0  # of WINDOW lines from each on
     for k in range(len(sizes) - 1, -1, -1):
         total += sizes[k] - (sizes[k + WINDOW] if k + WINDOW < len(sizes) else 0)
         sums.append(total)
     sums.reverse()
-    kept, begun = [], None
+    found, begun = [], None
     for k, block in enumerate([*sums, 0]):
         if block and begun is None:
             begun = k  # surge
         elif not block and begun is not None:
-            if any(sizes[j] and not of_links[j] for j in range(begun, k)):
-                kept.append((begun, k))  # dive
+            found.append((begun, k))  # dive
             begun = None
-    return "\n".join(lines[k][0] for a, b in kept for k in range(a, b) if sizes[k])
+    return found
+
+
+def main_text(page: str | None) -> str:
+    if not page:
+        return ""
+    lines = _lines(page)
+    inside = [own for *_, own in lines]
+    of_links = [linked > LINKS * len(text) for text, linked, *_ in lines]
+    sizes = [0 if menu else len(line[0]) for line, menu in zip(lines, _menus(lines, of_links))]
+    if any(inside):
+        marked = [len(line[0]) if own else 0 for line, own in zip(lines, inside)]
+        others = [0 if own else size for size, own in zip(sizes, inside)]
+        longest = max((sum(others[a:b]) for a, b in stretches(others)), default=0)
+        believed = sum(marked) >= longest
+        sizes = marked if believed else others
+        of_links = [linked and not (believed and own) for linked, own in zip(of_links, inside)]
+    kept = [k for a, b in stretches(sizes) if any(sizes[j] and not of_links[j] for j in range(a, b)) for k in range(a, b) if sizes[k]]
+    return "\n".join(lines[k][0] for k in kept)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,3 +1,9 @@
+import html
+import re
+import time
+
+from pyspark.sql import functions as F
+
 from tallgrass.llm.html_text import extract, main_text
 
 
@@ -74,3 +80,45 @@ def test_rows(spark):
     found = extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
     assert sorted(map(tuple, found), key=str) == sorted([(1, "u", "é", 1)] * 2 + [(None, None, "", 0)], key=str)
     assert extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def by_template(page):
+    """The text of a page as the test data are made: blocks of its one article element."""
+    blocks = re.split(r"</?(?:p|h1|br)>", re.search(r"<article>(.*?)</article>", page, re.S)[1])
+    texts = (" ".join(html.unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in blocks)
+    return "\n".join(x for x in texts if x)
+
+
+def test_every_page_of_the_test_data(spark):
+    """With article tags or without, the distribution finds the same text."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    expected = {r.page_id: by_template(r.html) for r in pages.collect()}
+    for own in (pages, pages.withColumn("html", F.regexp_replace("html", "</?article>", ""))):
+        assert {r.page_id: r.text for r in extract(own).collect()} == expected
+
+
+def test_broken_pages():
+    assert main_text("<article><p class=byline>By A<p>Text one<p>Text two</article>") == "By A\nText one\nText two"
+    assert main_text("<article><ul><li class=share>x<li>y</ul><p class=ad>z<p>end</article>") == "y\nend"
+    assert main_text('<article><h2 id="related-work">R</h2><h2 class="section-header">S</h2><p>x y</p></article>') == "R\nS\nx y"
+    assert main_text("<article><p>a</p><p><a href=x>one link</a></p></article>") == "a\none link"
+    assert main_text('<p data-id="share">x</p><p title="id=ad">y</p>') == "x\ny"
+    assert main_text("<p>a <a href='x>b</a> c</p><p>d</p>") == "a b c\nd"
+    assert main_text("<head><title>t</title><p>a</p><!-- never ends <p>b") == "a"
+    assert main_text("<table><tr><td class=ad>a<td>b<tr><td>c</table>d") == "b\nc\nd"
+    assert main_text("<p>a</span></div></p>b<div class=ad/>c") == "a\nb\nc"
+
+
+def test_marks_that_the_distribution_contradicts():
+    text = "The words of the page go on and on. " * 8
+    teasers = "<article><a href=/x>Other</a><p>A few words.</p></article>" * 2
+    assert main_text(f"<div><p>{text}</p><p>End.</p></div>{teasers}") == text.strip() + "\nEnd."
+    assert main_text(f"<p>Outside.</p><article><p>{text}</p><p>End.</p></article>") == text.strip() + "\nEnd."
+
+
+def test_time_is_linear():
+    for piece in ('<a "', '<a b="', "<a b='\"", "<a ", "<li><b>", "<ul><li>", "<div><p>", "</div>x", "<object>", "<span>", "<article>x", "<![CDATA["):
+        begun = time.perf_counter()
+        main_text(piece * 60_000 + ">")
+        main_text(piece * 60_000 + 'b=">')
+        assert time.perf_counter() - begun < 10, piece
