@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 1_000_000
 
 
-def small(df: DataFrame) -> DataFrame:
-    """``df`` with the hint to send it to all executors if it is small enough; it should be cheap to compute twice."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def small(df: DataFrame, rows_of: int = 1) -> DataFrame:
+    """``df`` with the hint to send it to all executors if it is small enough; it should be cheap to compute twice.
+
+    ``rows_of``: a row counts as so many rows of a few numbers.
+    """
+    return F.broadcast(df) if df.count() * rows_of <= BROADCAST_ROWS else df
 
 
 def row_key() -> Column:

@@ -27,7 +27,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallgrass.plans.durable import stash
+from tallgrass.llm.joins import small
+from tallgrass.plans.durable import passing, stash
 
 # Fixed values of the seekable format.
 SKIPPABLE_MAGIC = 0x184D2A5E
@@ -54,9 +55,13 @@ class BundleWriter:
         self.packer, self.sizes = zstandard.ZstdCompressor(level=3), []
         self.plain, self.held = BytesIO(), 0
 
+    def next(self) -> tuple[int, int]:
+        """Frame and offset of the record that is added next."""
+        return len(self.sizes), self.plain.tell()
+
     def add(self, record: bytes) -> tuple[int, int]:
         """Frame and offset of ``record``."""
-        where = len(self.sizes), self.plain.tell()
+        where = self.next()
         self.plain.write(record)
         self.held += 1
         if self.plain.tell() >= self.frame_bytes or self.held >= self.frame_records:
@@ -100,16 +105,22 @@ def read_frame(source, frames: list[tuple[int, int, int]], frame: int) -> bytes:
     return zstandard.ZstdDecompressor().decompress(source.read(packed), max_output_size=plain)
 
 
-def record(page_id, url: str | None, payload: bytes, digest: str, refers_to, revisit: bool) -> bytes:
-    """One WARC/1.1 record; a revisit holds headers only, and the payload's digest and length as fields."""
+def _target(url: str | None) -> str:
+    return (url or "").replace("\r", "%0D").replace("\n", "%0A")
+
+
+def record(page_id, url: str | None, payload: bytes, digest: str, refers_to, revisit: bool, its_url: str | None = None, place: str = "") -> bytes:
+    """One WARC/1.1 record; a revisit holds headers only, and the payload's digest and length as fields.
+
+    ``place`` (bundle, frame and offset) makes the record's id, so that rows that share a page id have ids of their own.
+    """
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http if revisit else http + payload
-    target = (url or "").replace("\r", "%0D").replace("\n", "%0A")
     fields = [
         ("WARC-Type", "revisit" if revisit else "response"),
-        ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}')}>"),
+        ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{place}:{page_id}')}>"),
         ("WARC-Date", _DATE),
-        ("WARC-Target-URI", target),
+        ("WARC-Target-URI", _target(url)),
         ("WARC-Payload-Digest", f"sha1:{base64.b32encode(bytes.fromhex(digest)).decode()}"),
         ("X-Page-ID", "" if page_id is None else page_id),
         ("X-Payload-Length", len(payload)),
@@ -117,7 +128,8 @@ def record(page_id, url: str | None, payload: bytes, digest: str, refers_to, rev
     if revisit:
         fields += [
             ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
-            ("WARC-Refers-To", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{refers_to}')}>"),
+            ("WARC-Refers-To-Target-URI", _target(its_url)),
+            ("WARC-Refers-To-Date", _DATE),
             ("X-Refers-To-Page-ID", refers_to),
         ]
     fields += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", len(block))]
@@ -147,12 +159,13 @@ def _write(folder: str):
         try:
             for batch in batches:
                 rows = []
-                for page_id, url, html, digest, refers_to in zip(*(c.to_pylist() for c in batch.columns)):
+                for page_id, url, html, digest, refers_to, its_url in zip(*(c.to_pylist() for c in batch.columns)):
                     if writer is None:
                         store.create_dir(top, recursive=True)
                         out = store.open_output_stream(f"{top}/{name}", compression=None)
                         writer = BundleWriter(out)
-                    raw = record(page_id, url, (html or "").encode(), digest, refers_to, refers_to is not None)
+                    place_of = "{}/{}/{}".format(name, *writer.next())
+                    raw = record(page_id, url, (html or "").encode(), digest, refers_to, refers_to is not None, its_url, place_of)
                     rows.append((page_id, name, *writer.add(raw), len(raw)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, t) for x, t in zip(zip(*rows) if rows else [[]] * 5, (pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int64()))],
@@ -169,20 +182,25 @@ def _write(folder: str):
 
 def write_bundles(pages: DataFrame, folder: str, least_bytes: int = 1000) -> DataFrame:
     """Write every row of ``pages`` into bundles below ``folder``; returns the index (a row per record)."""
-    html = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    read = pages.select("page_id", "url", "html").withColumns({"digest": F.sha1(html), "check": F.sha2(html, 256), "n": F.octet_length(html)})
-    kept = (
-        read.where(F.col("n") >= least_bytes)
-        .groupBy("digest", "check")
-        .agg(F.max("page_id").alias("kept_id"), F.count(F.lit(1)).alias("rows"))
-        .where("rows > 1")
-        .select(F.col("digest").alias("kept_digest"), F.col("check").alias("kept_check"), "kept_id")
-    )
-    refers_to = F.when(~F.col("page_id").eqNullSafe(F.col("kept_id")), F.col("kept_id"))
-    rows = read.join(kept, (F.col("digest") == F.col("kept_digest")) & (F.col("check") == F.col("kept_check")), "left").select(
-        "page_id", "url", "html", "digest", refers_to.alias("refers_to")
-    )
-    return stash(rows.mapInArrow(_write(folder), INDEX_SCHEMA), "warc-index")
+    with passing(pages.sparkSession) as keep:
+        html = F.coalesce(F.col("html"), F.lit("")).cast("binary")
+        read = pages.select("page_id", "url", "html").withColumns({"digest": F.sha1(html), "check": F.sha2(html, 256), "n": F.octet_length(html)})
+        kept = (
+            read.where(F.col("n") >= least_bytes)
+            .groupBy("digest", "check")
+            .agg(F.max("page_id").alias("kept_id"), F.max_by("url", "page_id").alias("kept_url"), F.count(F.lit(1)).alias("rows"))
+            .where("rows > 1")
+            .select(F.col("digest").alias("kept_digest"), F.col("check").alias("kept_check"), "kept_id", "kept_url")
+        )
+        # Sent to all unless there are very many of them, payloads stay where they are, whatever share of pages has one.
+        kept = small(stash(kept, "warc-kept"), rows_of=8)
+        refers_to = F.when(~F.col("page_id").eqNullSafe(F.col("kept_id")), F.col("kept_id"))
+        rows = read.join(kept, (F.col("digest") == F.col("kept_digest")) & (F.col("check") == F.col("kept_check")), "left").select(
+            "page_id", "url", "html", "digest", refers_to.alias("refers_to"), "kept_url"
+        )
+        index = stash(rows.mapInArrow(_write(folder), INDEX_SCHEMA), "warc-index")
+        keep(index)
+    return index
 
 
 def _read(folder: str):

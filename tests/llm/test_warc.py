@@ -53,3 +53,19 @@ def test_frames_are_independent_and_any_zstd_reader_reads_them():
         assert warc.read_frame(source, frames, frame)[at : at + len(record)] == record
     reader = zstandard.ZstdDecompressor().stream_reader(BytesIO(out.getvalue()), read_across_frames=True)
     assert reader.read() == b"".join(records)
+
+
+def test_every_record_has_an_id_of_its_own(spark):
+    rows = [(1, "u", "a" * 2000), (1, "u", "a" * 2000), (None, "v", "b"), (None, "v", "b"), (0, "w", "a" * 2000)]
+    folder, index, _ = through(spark, rows)
+    fields = [warc.fetch(folder, r.bundle, r.frame, r.at)[0] for r in index.collect()]
+    assert len({x["WARC-Record-ID"] for x in fields}) == len(rows)
+    assert [x["WARC-Refers-To-Target-URI"] for x in fields if x["WARC-Type"] == "revisit"] == ["u"]
+
+
+def test_a_payload_longer_than_a_frame(spark):
+    long = "é" * (3 * warc.FRAME_BYTES // 2)
+    folder, index, found = through(spark, [(1, "u", long), (2, "u", "x"), (3, "u", long)])
+    assert sorted(found) == sorted([(k, len(raw := h.encode()), hashlib.sha1(raw).hexdigest(), t, o) for k, h, t, o in [(1, long, "revisit", 3), (2, "x", "response", None), (3, long, "response", None)]])
+    entry = next(r for r in index.collect() if r.page_id == 3)
+    assert warc.fetch(folder, entry.bundle, entry.frame, entry.at)[1].decode() == long
