@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -31,6 +31,8 @@ from tallgrass.plans.workers import give_back
 #: Pieces whose ids a worker remembers before it starts anew, and bytes of text that it encodes at once.
 REMEMBERED = 600_000
 CHUNK = 2 << 20
+#: Characters of texts that split rows with one id between partitions; whole texts order them.
+PREFIX = 64
 
 SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
 _ARROW = pa.schema(
@@ -60,8 +62,8 @@ class Encoder:
 
     Where white space stands alone, each space begins a pre-token that it shares with what follows and each newline is
     one, and punctuation after an ASCII letter begins another, so a text can be cut there and each piece encoded by
-    itself. Pieces of many texts are cut and told apart by 64-bit hashes at once (lengths are compared too), so that
-    Python handles the distinct ones only. Texts with other white space are encoded as they are, and unless ``literal``
+    itself. Pieces of many texts are cut and told apart by 64-bit hashes at once, and their bytes are compared with
+    those of the piece that stands for them, so that Python handles the distinct ones only. Texts with other white space are encoded as they are, and unless ``literal``
     takes the strings of special tokens as ordinary text, so are texts with the string of an added token.
     """
 
@@ -162,10 +164,13 @@ class Encoder:
             codes, at = pd.factorize(_piece_hashes(data, starts)[plain])[0], np.flatnonzero(plain)
             some = np.empty(codes.max() + 1, np.int64)
             some[codes[::-1]] = at[::-1]
-            if (ends[at] - starts[at] != (ends - starts)[some][codes]).any():
-                raise ValueError("two pieces of different lengths have one hash")
             raw = data.tobytes()
-            own, kept = self.entries([raw[a:b] for a, b in zip(starts[some].tolist(), ends[some].tolist())])
+            piece = lambda k: raw[starts[k] : ends[k]]
+            # Pieces with the hash of another one and other bytes stand for themselves.
+            alone = _unlike(data, starts[at], starts[some][codes], (ends - starts)[at], (ends - starts)[some][codes])
+            extra = {x: len(some) + k for k, x in enumerate(dict.fromkeys(piece(k) for k in at[alone].tolist()))}
+            codes[alone] = [extra[piece(k)] for k in at[alone].tolist()]
+            own, kept = self.entries([raw[a:b] for a, b in zip(starts[some].tolist(), ends[some].tolist())] + list(extra))
             entries[at] = own[codes]
         for k in np.flatnonzero(odd):
             entries[of[k]] = self.add(*self.encoded([data[offsets[k] : offsets[k + 1]].tobytes().decode()]))
@@ -178,6 +183,18 @@ class Encoder:
         return ids, np.diff(total[of[1:] + np.arange(n)], prepend=0)
 
 
+def _unlike(data: np.ndarray, begin: np.ndarray, other: np.ndarray, size: np.ndarray, its_size: np.ndarray) -> np.ndarray:
+    """The numbers of the pieces whose bytes differ from those of the piece that stands for them."""
+    unlike = size != its_size
+    same = np.flatnonzero(~unlike & (begin != other))
+    ends = np.cumsum(size[same])
+    total = int(ends[-1]) if len(ends) else 0
+    at = np.repeat(begin[same] - (ends - size[same]), size[same]) + np.arange(total)
+    differ = np.flatnonzero(data[at] != data[at + np.repeat(other[same] - begin[same], size[same])])
+    unlike[same[np.unique(np.searchsorted(ends, differ, "right"))]] = True
+    return np.flatnonzero(unlike)
+
+
 def _odd_texts(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray, strings: list[bytes]) -> np.ndarray:
     """Texts whose white space isn't all single spaces and newlines between other characters, or with one of ``strings``."""
     bad = kind == 8
@@ -287,31 +304,12 @@ def encode_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int) ->
 
 
 def _in_ranges(docs: DataFrame) -> DataFrame:
-    """doc_id, text dealt to partitions by ranges of doc_id, in order; only ids are read to find the ranges.
+    """doc_id, text dealt to partitions by ranges of doc_id, in order.
 
-    (repartitionByRange would read the texts a second time for its sample.)
+    The beginning of the text splits ranges of rows with one id or without any.
     """
-    spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = docs.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)] or [0.5], 100 * n)).first()[0] or []
-    cuts = sorted(set(cuts))
-    n = len(cuts) + 1
-    # A number that Spark's hash partitioning sends to each partition.
-    sent = spark.range(64 * n).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("to")).agg(F.min("id").alias("id"))
-    key = dict(sent.collect())
-    if len(key) < n:
-        return docs.select("doc_id", "text").repartitionByRange(n, "doc_id")
-    to = F.when(F.col("doc_id").isNull(), 0).otherwise(_bucket(F.col("doc_id"), cuts))
-    keys = F.array(*(F.lit(key[k]).cast("long") for k in range(n)))
-    return docs.select("doc_id", "text", F.element_at(keys, to + 1).alias("to")).repartition(n, "to").drop("to")
-
-
-def _bucket(value: Column, cuts: list[int]) -> Column:
-    """How many of the ascending ``cuts`` are at most ``value``, by halves."""
-    if not cuts:
-        return F.lit(0)
-    k = len(cuts) // 2
-    return F.when(value < cuts[k], _bucket(value, cuts[:k])).otherwise(F.lit(k + 1) + _bucket(value, cuts[k + 1 :]))
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return docs.select("doc_id", "text").repartitionByRange(n, "doc_id", F.substring("text", 1, PREFIX))
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2) -> None:

@@ -5,6 +5,7 @@ from glob import glob
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallgrass.llm import tokens as K
@@ -91,3 +92,25 @@ def test_special_tokens_as_the_library_has_them(spark, make_docs, prose):
     assert found[0].ids == [31373, 220, 50256, 995, 2]
     for r, text in zip(found, texts, strict=True):
         assert r.ids == [*tokenizer.encode(text, add_special_tokens=False).ids, 2], text[:60]
+
+
+def test_pieces_with_equal_hashes():
+    """Thue-Morse words of 2,048 letters have one polynomial hash modulo 2**64; 1,024 letters too, for this base."""
+    word = "a"
+    while len(word) < 4096:
+        word += word.translate(str.maketrans("ab", "ba"))
+        other = word.translate(str.maketrans("ab", "ba"))
+        encode = K.Encoder(tokenizer_file(), 2)
+        texts = [f"x {word} y {other} {word}", f"z {other} {other} y"]
+        ids, counts = encode(*utf8(pa.array(texts)))
+        assert ids.tolist() == [*direct(texts[0]), 2, *direct(texts[1]), 2], len(word)
+    data = np.frombuffer(f"{word}{other}".encode(), np.uint8)
+    hashes = K._piece_hashes(data, np.array([0, len(word)]))
+    assert hashes[0] == hashes[1]
+
+
+def test_rows_without_an_id_are_dealt_out(spark, make_docs, prose):
+    rows = [(None, prose(k, 20)) for k in range(400)] + [(1, "a")]
+    ordered = K._in_ranges(make_docs(rows))
+    sizes = [r["count"] for r in ordered.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 401 and max(sizes) < 250
