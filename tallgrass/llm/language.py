@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallgrass.llm.joins import keyed, without
+from tallgrass.llm.joins import keyed as by_row, small, without
 from tallgrass.llm.shingles import chunks, utf8
 from tallgrass.plans.durable import stash
 from tallgrass.plans.workers import tidy
@@ -83,6 +83,27 @@ def _convolved(net: Network, batch: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def gradients(net: Network, x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
+    """Of the mean cross-entropy of windows ``x`` with labels ``y``, by filters of each width, bias, weights and offset."""
+    conv = _convolved(net, x)
+    places = [c.argmax(axis=1) for c in conv]
+    most = np.concatenate([np.take_along_axis(c, p[:, None], 1)[:, 0] for c, p in zip(conv, places)], axis=1) + net.bias
+    hidden = np.maximum(most, 0)
+    error = softmax(hidden @ net.weights + net.offset)
+    error[np.arange(len(y)), y] -= 1
+    error /= len(y)
+    back = (error @ net.weights.T) * (most > 0)
+    slopes = []
+    for j, (width, place) in enumerate(zip(WIDTHS, places)):
+        slope = np.zeros_like(net.filters[j])
+        own = back[:, j * FILTERS : (j + 1) * FILTERS]
+        rows, columns = np.arange(len(x))[:, None], np.arange(FILTERS)[None, :]
+        for i in range(width):
+            np.add.at(slope[i], (x[rows, place + i], np.broadcast_to(columns, place.shape)), own)
+        slopes.append(slope)
+    return [*slopes, back.sum(axis=0), hidden.T @ error, error.sum(axis=0)]
+
+
 def train(batches: np.ndarray, labels: np.ndarray, languages: list[str], epochs: int = 6, size: int = 64, rate: float = 0.01) -> Network:
     """Adam on cross-entropy; some windows are cut short, so that short texts are known too."""
     rng = np.random.default_rng(3)
@@ -105,23 +126,7 @@ def train(batches: np.ndarray, labels: np.ndarray, languages: list[str], epochs:
             short = rng.random(len(x)) < 0.3
             for row, cut in zip(np.flatnonzero(short), rng.integers(12, WINDOW, short.sum())):
                 x[row, cut:] = 0
-            conv = _convolved(net, x)
-            places = [c.argmax(axis=1) for c in conv]
-            most = np.concatenate([np.take_along_axis(c, p[:, None], 1)[:, 0] for c, p in zip(conv, places)], axis=1) + net.bias
-            hidden = np.maximum(most, 0)
-            error = softmax(hidden @ net.weights + net.offset)
-            error[np.arange(len(y)), y] -= 1
-            error /= len(y)
-            back = (error @ net.weights.T) * (most > 0)
-            slopes = []
-            for j, (width, place) in enumerate(zip(WIDTHS, places)):
-                slope = np.zeros_like(net.filters[j])
-                own = back[:, j * FILTERS : (j + 1) * FILTERS]
-                rows, columns = np.arange(len(x))[:, None], np.arange(FILTERS)[None, :]
-                for i in range(width):
-                    np.add.at(slope[i], (x[rows, place + i], np.broadcast_to(columns, place.shape)), own)
-                slopes.append(slope)
-            slopes += [back.sum(axis=0), hidden.T @ error, error.sum(axis=0)]
+            slopes = gradients(net, x, y)
             steps += 1
             scale = rate * np.sqrt(1 - 0.999**steps) / (1 - 0.9**steps)
             for p, g, m, v in zip(parameters, slopes, first, second):
@@ -179,13 +184,16 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Network | None:
     counts = labelled.groupBy("lang").count()
     each = F.floor(F.lit(sample_docs) / F.greatest(F.lit(1), F.count(F.lit(1)).over(Window.partitionBy())))
     share = counts.withColumn("each", F.greatest(F.lit(1), each)).select(F.col("lang").alias("its_lang"), "each", (F.col("each") * 2 + 50).alias("some"), "count")
-    # Twice as many as are wanted pass by their hash; of these the first by hash are taken.
-    thin = labelled.select("doc_id", "lang", draw.alias("draw")).join(F.broadcast(share), F.col("lang") == F.col("its_lang"))
-    thin = thin.where(F.pmod("draw", F.lit(1 << 20)) * F.col("count") < F.col("some") * (1 << 20))
-    by_draw = Window.partitionBy("lang").orderBy("draw", "doc_id")
-    taken = thin.withColumn("rank", F.row_number().over(by_draw)).where("rank <= each").select("doc_id").distinct()
-    rows = labelled.join(F.broadcast(taken), "doc_id", "left_semi").select(draw.alias("draw"), "text", "lang")
-    rows = rows.mapInArrow(tidy(_sampled_windows), "draw long, lang string, bytes binary").toArrow()
+    # Twice as many as are wanted pass by their hash; of these the first by hash are taken. Rows that repeat id, text and
+    # language are one, before any of them meet, so that no more texts than were asked for reach the driver.
+    keyed = labelled.select(F.xxhash64("doc_id", "text", "lang").alias("key"), draw.alias("draw"), "lang", "text")
+    thin = keyed.select("key", "draw", "lang").join(small(share), F.col("lang") == F.col("its_lang"))
+    thin = thin.where(F.pmod("draw", F.lit(1 << 20)) * F.col("count") < F.col("some") * (1 << 20)).select("key", "draw", "lang", "each").distinct()
+    by_draw = Window.partitionBy("lang").orderBy("draw", "key")
+    taken = thin.withColumn("rank", F.row_number().over(by_draw)).where("rank <= each").select("key").distinct()
+    # A row per language is at least one, so languages beyond sample_docs are the bound then.
+    rows = keyed.join(F.broadcast(taken), "key", "left_semi").groupBy("key").agg(F.first("draw").alias("draw"), F.first("text").alias("text"), F.first("lang").alias("lang"))
+    rows = rows.select("draw", "text", "lang").mapInArrow(tidy(_sampled_windows), "draw long, lang string, bytes binary").toArrow()
     if not rows.num_rows:
         return None
     rows = rows.sort_by([("lang", "ascending"), ("draw", "ascending"), ("bytes", "ascending")])
@@ -233,5 +241,5 @@ def accepted(docs: DataFrame, net: Network | None, least: float = 0.35) -> DataF
 
     Rows are judged by their own text, whatever others have their id.
     """
-    bad = identify(keyed(docs), net).where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)).select("doc_id").distinct()
+    bad = identify(by_row(docs), net).where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)).select("doc_id").distinct()
     return without(docs, stash(bad, "lang-rejected"))

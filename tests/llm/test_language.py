@@ -53,3 +53,36 @@ def test_windows_hold_all_bytes():
     cut, counts, full = L.windows(data, np.cumsum([0, *map(len, texts)]))
     assert counts.tolist() == [0, 1, 1, 3] and full.sum() == len(data)
     assert b"".join(bytes(w[:n]) for w, n in zip(cut, full)) == bytes(data)
+
+
+def test_gradients_are_those_of_the_loss():
+    rng = np.random.default_rng(4)
+    total = L.FILTERS * len(L.WIDTHS)
+    net = L.Network(["a", "b", "c"], [rng.normal(0, 0.5, (w, 256, L.FILTERS)) for w in L.WIDTHS], rng.normal(0, 0.1, total), rng.normal(0, 0.5, (total, 3)), rng.normal(0, 0.1, 3))
+    x, y = rng.integers(97, 101, (9, L.WINDOW), dtype=np.uint8), np.arange(9) % 3
+
+    def loss():
+        most = np.concatenate([c.max(axis=1) for c in L._convolved(net, x)], axis=1) + net.bias
+        return -np.log(L.softmax(np.maximum(most, 0) @ net.weights + net.offset)[np.arange(9), y]).mean()
+
+    parameters = [*net.filters, net.bias, net.weights, net.offset]
+    for values, slopes in zip(parameters, L.gradients(net, x, y), strict=True):
+        assert slopes.shape == values.shape
+        at = [np.unravel_index(k, values.shape) for k in np.argsort(-np.abs(slopes).ravel())[: min(12, values.size)]]
+        for k in at:
+            was, step = values[k], 1e-6
+            values[k] = was + step
+            up = loss()
+            values[k] = was - step
+            down = loss()
+            values[k] = was
+            np.testing.assert_allclose((up - down) / (2 * step), slopes[k], rtol=1e-4, atol=1e-8)
+
+
+def test_repeated_rows_ties_and_empty_tables(spark, make_docs, prose):
+    rows = [(k, prose(k, 40), "la" if k % 2 else "el", "s") for k in range(40)]
+    repeated = L.learn(make_docs(rows + [rows[4]] * 300 + [(None, "x", "la", "s")] * 50))
+    assert all((a == b).all() for a, b in zip(L.learn(make_docs(rows)).filters, repeated.filters))
+    net = L.Network(["a", "b"], [np.zeros((w, 256, L.FILTERS), np.float32) for w in L.WIDTHS], np.zeros(48, np.float32), np.zeros((48, 2), np.float32), np.zeros(2, np.float32))
+    assert [tuple(r) for r in L.identify(make_docs([(1, "tie")]), net).collect()] == [(1, "a", 0.5)]
+    assert L.identify(make_docs([]), net).collect() == []
