@@ -3,7 +3,8 @@
 Vectors are dealt to shards of bounded size by a hash of their ids. In a shard, greedy searches of the graph so far
 propose neighbours for each batch of new vectors; of these, nearest first, a candidate is kept unless one that was
 kept is closer to it by the factor ``ALPHA`` than the new vector is, so that edges of all directions stay; reverse
-edges are added and pruned alike. A query runs a beam search in every shard, and the shards' best are merged.
+edges are added and pruned alike. A query runs a beam search in every shard, the narrower the more shards there are,
+and the shards' best are merged.
 
 Largest inner product is nearest distance after one more component, ``sqrt(M**2 - |x|**2)``, is added to each vector
 (0 to queries). Equal vectors are one node with all their ids, so thousands of copies neither fill a beam nor hide
@@ -18,6 +19,7 @@ result; only vec_id and embedding are read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,10 +37,13 @@ BLOCK = 16384
 DEGREE = 40
 BUILD_BEAM = 96
 SEARCH_BEAM = 224
+LEAST_BEAM = 64
 EXPAND = 4
 ALPHA = 1.2
 #: Vectors inserted, and queries searched, at once.
 BATCH = 256
+#: Distances between candidates that are held at once.
+PRUNED = 1 << 23
 
 _INDEX = "shard long, vec_id long, embedding array<double>, node int, edges array<int>, entry int"
 
@@ -141,9 +146,11 @@ def build(points: np.ndarray) -> tuple[np.ndarray, int]:
             both = both[:, ::-1]
             fits = (both >= 0).sum(axis=1) <= DEGREE
             edges[some[fits]] = both[fits, :DEGREE] if both.shape[1] >= DEGREE else np.pad(both[fits], ((0, 0), (0, DEGREE - both.shape[1])), constant_values=-1)
-            for full in np.array_split(np.flatnonzero(~fits), -(-int((~fits).sum()) // BATCH) or 1):
-                if len(full):
-                    edges[some[full]] = robust_prune(points, some[full], both[full][:, : 4 * DEGREE])
+            crowded, width = np.flatnonzero(~fits), both.shape[1]
+            step = max(1, PRUNED // (width * width))  # all candidates are pruned at once, however many a node has
+            for at_node in range(0, len(crowded), step):
+                full = crowded[at_node : at_node + step]
+                edges[some[full]] = robust_prune(points, some[full], both[full])
     return edges, entry
 
 
@@ -186,7 +193,8 @@ def build_index(vectors: DataFrame, shard: int = SHARD) -> DataFrame:
     good = stash(usable(vectors), "ann-vectors")
     shards = -(-good.count() // shard) or 1
     dealt = good.select(F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard"), "vec_id", "embedding")
-    return stash(dealt.repartitionByRange(shards, "shard").mapInArrow(_by_shard, _INDEX), "ann-index")
+    # One shard for each task.
+    return stash(dealt.repartitionById(shards, F.col("shard").cast("int")).mapInArrow(_by_shard, _INDEX), "ann-index")
 
 
 def _search(k: int, beam: int):
@@ -210,7 +218,7 @@ def _search(k: int, beam: int):
                 near, _ = beam_search(points, edges, entry, flat[at : at + BATCH], beam)
                 for q, nodes in zip(range(at, at + BATCH), near):
                     nodes = nodes[nodes >= 0]
-                    scores = distinct[nodes] @ queries[q]
+                    scores = (distinct[nodes] * queries[q]).sum(axis=1)  # row by row: the same for equal vectors anywhere
                     # Of equal vectors no more than the k + 1 smallest ids can be among the k nearest others.
                     own = np.concatenate([np.arange(begin[j], min(begin[j + 1], begin[j] + k + 1)) for j in nodes])
                     score = np.repeat(scores, np.minimum(np.diff(begin)[nodes], k + 1))
@@ -226,6 +234,13 @@ def _search(k: int, beam: int):
     return run
 
 
+def shard_beam(k: int, shards: int, beam: int) -> int:
+    """What is left of ``beam`` in each shard: ids are dealt by hash, so that of the k nearest no shard holds more than
+    its share and four standard deviations, but for about once in 10,000 times."""
+    share = k / shards
+    return max(min(LEAST_BEAM, beam), math.ceil(beam * min(k, share + 4 * math.sqrt(share)) / k))
+
+
 def search(index: DataFrame, queries: DataFrame, k: int = 20, beam: int = SEARCH_BEAM) -> DataFrame:
     """query_id, rank, vec_id, score of the ``k`` nearest found of each of ``queries`` (vec_id, embedding)."""
     asked = usable(queries).select(F.col("vec_id").alias("query_id"), "embedding").dropDuplicates(["query_id"])
@@ -237,6 +252,6 @@ def search(index: DataFrame, queries: DataFrame, k: int = 20, beam: int = SEARCH
     placed = index.withColumn("block", upto(blocks))
     tasks = max(2 * n_shards * blocks, 1)
     left, right = (x.repartition(tasks, "shard", "block").groupBy("shard", "block") for x in (placed, asked))
-    best = left.cogroup(right).applyInArrow(_search(k, beam), "query_id long, vec_id long, score double")
+    best = left.cogroup(right).applyInArrow(_search(k, shard_beam(k, n_shards, beam)), "query_id long, vec_id long, score double")
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -62,3 +62,25 @@ def test_few_and_none(spark):
     assert [i for i, _ in searched(spark, [(1, [1.0, 0.0]), (2, [0.5, 1.0]), (2, [0.5, 1.0])], [1])[1]] == [2, 2]
     assert searched(spark, [(1, [1.0, 0.0])], [1]) == {}
     assert searched(spark, [], []) == {}
+
+
+def test_recall_over_many_shards(spark):
+    """With the beam that is left to each of eight shards; some vectors have many neighbours at one distance."""
+    rng = np.random.default_rng(3)
+    m = np.concatenate([rng.normal(size=(3000, 32)), rng.normal(size=32) + rng.normal(size=(600, 32)) * 0.02, np.repeat(rng.normal(size=(1, 32)), 300, axis=0)])
+    vectors = [(k, v.tolist()) for k, v in enumerate(m)]
+    queries = list(range(0, 3900, 60))
+    found, exact = searched(spark, vectors, queries, shard=500), brute(vectors, queries, 20)
+    # Neighbours are right if they are no farther than the last of the exact ones.
+    hits = [np.mean([s >= exact[q][-1][1] - 1e-9 for _, s in found[q]]) for q in queries]
+    assert np.mean(hits) >= 0.95 and {len(found[q]) for q in queries} == {20}
+    assert G.shard_beam(20, 1, 224) == 224 > G.shard_beam(20, 8, 224) > G.shard_beam(20, 1000, 224) == 64
+
+
+def test_a_node_with_more_candidates_than_edges():
+    """All points want the hub; what is pruned keeps every one of them within reach."""
+    rng = np.random.default_rng(6)
+    points = np.concatenate([np.zeros((1, 16)), rng.normal(size=(700, 16))]).astype(np.float32)
+    edges, entry = G.build(points)
+    near, _ = G.beam_search(points, edges, entry, points, 64)
+    assert (near[:, 0] == np.arange(701)).mean() > 0.99
