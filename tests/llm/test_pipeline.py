@@ -1,6 +1,10 @@
 from collections import Counter
+from pathlib import Path
+
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tallgrass.plans import durable
 from tallgrass.plans.durable import stash
 from test_contamination import brute as contained
 from test_near_dups import brute as near
@@ -66,3 +70,21 @@ def test_filters_decide_row_by_row(spark, make_docs, prose):
     near = [(3, base, "en", "a"), (None, base + " end", "en", "a"), (7, base + " more", "en", "a"), (3, base, "en", "b")]
     near += [(None, copied, "en", "a")] * 3 + [(5, "", "en", "a"), (6, None, "en", "a")]
     assert left("MinHash near-dedup", [*clean, *near]) == both([*clean, near[0], near[4], *near[-2:]])
+
+
+def test_the_whole_run_equals_its_stages(spark, tmp_path):
+    """run() over a folder with rows without ids, shared ids and repeated rows; what it writes in between is deleted."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(60)
+    odd = docs.unionByName(docs.limit(20)).unionByName(docs.orderBy("doc_id").limit(15).withColumn("doc_id", F.lit(None).cast("long")))
+    odd.unionByName(docs.limit(5).withColumn("doc_id", F.lit(3).cast("long"))).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{DATA}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    folder = Path(durable.shared_dir(spark).removeprefix("file://")) / "tallgrass"
+    before = {x.name for x in folder.iterdir()} if folder.exists() else set()
+    found = corpus_pipeline.run(spark, str(tmp_path))
+    assert len({x.name for x in folder.iterdir()} - before) == 1
+    staged = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        staged = stash(stage(spark, staged, str(tmp_path)), "t-run")
+    key = lambda r: (r.doc_id is not None, r.doc_id or 0, r.start)
+    assert [tuple(r) for r in sorted(found.collect(), key=key)] == [tuple(r) for r in sorted(staged.collect(), key=key)]
+    assert found.where("doc_id IS NULL").count() <= 2 * 15
