@@ -3,10 +3,11 @@
 A short item inside a long document has next to no Jaccard similarity with it, so signatures of both sides cannot
 meet. Containment MinHash samples the small side alone: under each of ``coordinates`` hash orders an item is posted
 under its least shingle, and a document collides there if it holds that shingle, which a document that contains the
-share c of the item does with probability c. Items are partitioned by the power of two of their size; a partition is
-searched only in documents large enough to contain the threshold's share of its smallest item, and has its own
-collision threshold, so low that a pair at the containment threshold is missed about once in a million. Candidates
-are verified by exact containment of the shingles' words.
+share c of the item does with probability c. Items are partitioned by size, and a partition has its own sample and its
+own collision threshold: items of up to ``coordinates`` shingles are posted whole, one partition for each size, and a
+document must hold the threshold's share of them; larger ones are sampled, with a threshold so low that a pair at the
+containment threshold is missed about once in a million. Candidates are verified by exact containment of the
+shingles' words.
 
 Defined cases: null text, empty text and fewer words than a shingle have no shingles and match nothing, as items and
 as documents; rows that share a doc_id (or have none) are one document, rows that share an item_id one item;
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallgrass.llm.joins import keyed, small, without
-from tallgrass.plans.durable import stash
+from tallgrass.plans.durable import passing, stash
 
 
 def _words(df: DataFrame, key: str) -> DataFrame:
@@ -61,25 +62,18 @@ def contained_items(docs: DataFrame, items: DataFrame, width: int = 5, percent:
     item_shingles = _hashed(items, "item_id", width).select(F.col("key").alias("item"), F.explode_outer("shingles").alias("shingle"))
     item_shingles = item_shingles.where(F.col("shingle").isNotNull()).distinct()
     sizes = item_shingles.groupBy(F.col("item").alias("its")).agg(F.count(F.lit(1)).alias("n"))
-    orders = item_shingles.withColumn("order", F.explode(F.sequence(F.lit(1), F.lit(coordinates))))
+    sized = item_shingles.join(sizes, F.col("item").eqNullSafe(F.col("its")))
+    whole = sized.where(F.col("n") <= coordinates).select("item", "shingle", F.lit(1).cast("long").alias("weight"), F.ceil(F.col("n") * percent / 100).alias("needs"))
+    orders = sized.where(F.col("n") > coordinates).withColumn("order", F.explode(F.sequence(F.lit(1), F.lit(coordinates))))
     least = orders.groupBy("item", "order").agg(F.min_by("shingle", F.xxhash64("shingle", "order")).alias("shingle"))
-    posted = least.groupBy("item", "shingle").agg(F.count(F.lit(1)).alias("weight"))
-    posted = posted.join(sizes, F.col("item").eqNullSafe(F.col("its")))
-    partition = F.floor(F.log2("n"))
-    posted = posted.select("item", "shingle", "weight", F.ceil(F.pow(F.lit(2.0), partition) * percent / 100).alias("fits"))
-    posted = stash(posted, "bench-posted")
-
-    # A filter on the arrays, as explode or a join on their size would add, is pushed below them and computes them anew
-    # for every element; so rows are exploded with their size, and sizes are compared after the aggregation.
-    probes = _hashed(docs, "doc_id", width).select(
-        F.col("key").alias("doc"), F.size("shingles").alias("n_doc"), F.explode_outer("shingles").alias("probe")
-    )
+    sampled = least.groupBy("item", "shingle").agg(F.count(F.lit(1)).alias("weight")).withColumn("needs", F.lit(_threshold(coordinates, percent)).cast("long"))
+    posted = stash(whole.unionByName(sampled), "bench-posted")
+
+    probes = _hashed(docs, "doc_id", width).select(F.col("key").alias("doc"), F.explode_outer("shingles").alias("probe"))
     hits = probes.join(small(posted), F.col("probe") == F.col("shingle"))
-    largest = (F.max("n_doc").alias("n_doc"), F.first("fits").alias("fits"))
-    collisions = hits.groupBy("doc", "item", "shingle").agg(F.first("weight").alias("weight"), *largest)
-    found = collisions.groupBy("doc", "item").agg(F.sum("weight").alias("met"), *largest)
-    found = found.where((F.col("met") >= _threshold(coordinates, percent)) & (F.col("n_doc") >= F.col("fits")))
-    found = stash(found.select("doc", "item"), "bench-candidates")
+    collisions = hits.groupBy("doc", "item", "shingle").agg(F.first("weight").alias("weight"), F.first("needs").alias("needs"))
+    found = collisions.groupBy("doc", "item").agg(F.sum("weight").alias("met"), F.first("needs").alias("needs"))
+    found = stash(found.where("met >= needs").select("doc", "item"), "bench-candidates")
 
     near = small(found.select("doc").distinct())
     doc_words = _spelled(docs.join(near, docs["doc_id"].eqNullSafe(F.col("doc")), "left_semi"), "doc_id", width)
@@ -95,5 +89,7 @@ def contained_items(docs: DataFrame, items: DataFrame, width: int = 5, percent:
 
 def without_items(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that contain none of ``items``, all columns kept; a row is judged by its own text."""
-    dirty = contained_items(keyed(docs), items, **options).select("doc_id").distinct()
-    return without(docs, stash(dirty, "bench-dirty"))
+    with passing(docs.sparkSession) as keep:
+        dirty = stash(contained_items(keyed(docs), items, **options).select("doc_id").distinct(), "bench-dirty")
+        keep(dirty)
+    return without(docs, dirty)
