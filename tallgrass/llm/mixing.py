@@ -5,7 +5,7 @@ wanted total, so the excess of clamped sources flows to the others by weight. Do
 plus a seeded share of one more.
 
 Defined cases: null text has size 0; null source is a source of its own, ranked last; null ids and repeated rows are
-mixed row by row; an empty table gives an empty result; only doc_id, text and source are read, so other columns
+mixed row by row, rows without an id in an order that their texts give; an empty table gives an empty result; only doc_id, text and source are read, so other columns
 cannot clash. Sources are a configured dimension: their table (one row each) is ordered in one task.
 """
 
@@ -23,13 +23,18 @@ from tallgrass.plans.durable import stash
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def _name() -> Column:
+    """What a row's draw depends on: its id, or its text if it has none, so that rows without an id do not fall together."""
+    return F.coalesce(F.col("doc_id").cast("string"), F.md5("text")).alias("name")
+
+
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def seeded(doc_id: Column, seed: str) -> Column:
-    """A number below 2**32 that depends on the id and the seed alone."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))))
+def seeded(name: Column, seed: str) -> Column:
+    """A number below 2**32 that depends on the name and the seed alone."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(name, F.lit(""))))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
 
 
@@ -72,7 +77,7 @@ def mix(
     the source's target is met, to within half a document. The seeded order is cut into 65,536 slots whose sums are
     added up first, so that only the documents of the one slot in which the target falls are put in order.
     """
-    sizes = stash(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "mix-sizes")
+    sizes = stash(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), _name()), "mix-sizes")
     mixed = _placed(sizes, _goals(sizes, weights, share, epochs, seed), seed)
     return mixed.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
@@ -85,14 +90,14 @@ def repeated(
     seed: str = "mix",
 ) -> DataFrame:
     """The rows of ``docs``, all columns kept, as often as ``mix`` repeats them; texts are not shuffled."""
-    narrow = lambda *more: docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), *more)
+    narrow = lambda *more: docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), _name(), *more)
     goals = _goals(stash(narrow(), "mix-sizes"), weights, share, epochs, seed)
     placed = _placed(narrow(F.struct(*(docs[c] for c in docs.columns)).alias("row")), goals, seed).where("copies > 0")
     return placed.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def _drawn(sizes: DataFrame, seed: str) -> DataFrame:
-    return sizes.withColumn("draw", seeded(F.col("doc_id"), seed)).withColumn("slot", F.shiftright("draw", 16))
+    return sizes.withColumn("draw", seeded(F.col("name"), seed)).withColumn("slot", F.shiftright("draw", 16))
 
 
 def _cut(slots: DataFrame, goals: DataFrame) -> DataFrame:
@@ -134,13 +139,13 @@ def _goals(sizes: DataFrame, weights: Sequence[float], share: float, epochs: flo
 
 
 def _placed(rows: DataFrame, goals: DataFrame, seed: str) -> DataFrame:
-    """``rows`` (doc_id, source, size and more) with their source's goal and their number of copies."""
+    """``rows`` (doc_id, source, size, name and more) with their source's goal and their number of copies."""
     rows = _drawn(rows, seed)
     placed = rows.join(goals, rows["source"].eqNullSafe(F.col("goal_source")))
     at_cut = F.col("slot").eqNullSafe(F.col("cut_slot"))
     all_more = F.col("cut_slot").isNull() & (F.col("spare") > 0)
     clear = placed.where(~at_cut).withColumn("more", (all_more | F.coalesce(F.col("slot") < F.col("cut_slot"), F.lit(False))).cast("long"))
-    ordered = Window.partitionBy("source").orderBy("draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    ordered = Window.partitionBy("source").orderBy("draw", "doc_id", "name", "size").rowsBetween(Window.unboundedPreceding, -1)
     middle = F.col("cut_from") + F.coalesce(F.sum("size").over(ordered), F.lit(0)) + F.col("size") / 2
     near = placed.where(at_cut).withColumn("more", (middle <= F.col("spare")).cast("long"))
     return clear.unionByName(near).withColumn("copies", F.col("whole") + F.col("more"))

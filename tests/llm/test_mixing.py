@@ -68,3 +68,12 @@ def test_equals_sql(spark):
     expected = con.execute(ORACLES["op10_mix_sources"]).fetchdf().sort_values("doc_id").reset_index(drop=True)
     found = op10_mix_sources(spark, DATA).toPandas().sort_values("doc_id").reset_index(drop=True)
     pd.testing.assert_frame_equal(found, expected[found.columns], check_dtype=False)
+
+
+def test_rows_without_an_id_are_taken_apart(spark, make_docs, prose):
+    """They are drawn by their texts, so targets between whole repetitions are met among them as well."""
+    docs = [(None, prose(k, 5 + k % 9), "en", "a") for k in range(200)] + [(k, prose(k, 20), "en", "b") for k in range(200)]
+    rows = mix(make_docs(docs), share=1.2).collect()
+    check_share = {s: (sum(r.taken for r in rows if r.source == s), next(r.target for r in rows if r.source == s)) for s in "ab"}
+    assert all(abs(taken - target) <= 10 for taken, target in check_share.values())
+    assert sorted(map(str, rows)) == sorted(map(str, mix(make_docs(docs).repartition(7), share=1.2).collect()))
