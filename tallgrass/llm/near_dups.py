@@ -27,7 +27,7 @@ doc_id and text are read.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from tallgrass.llm.components import components
 from tallgrass.llm.joins import keyed, row_key, small, without
 from tallgrass.llm.shingles import chunks, shingle_sets, signatures, utf8
-from tallgrass.plans.durable import stash
+from tallgrass.plans.durable import passing, stash
 from tallgrass.plans.workers import tidy
 
 _SET = "n long, set_a long, set_b long"
@@ -95,34 +95,38 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, coordina
     """doc_id, n_shingles, component_id (least id that links reach) and kept of every row of ``docs``."""
     docs = docs.select("doc_id", "text")
     matches = enough(coordinates, percent)
-    rows = stash(_sketches(docs, width, coordinates), "nd-sketches")
-    key = ["n", "set_a", "set_b"]
-    classes = stash(
-        rows.where("n > 0")
-        .groupBy(*key)
-        .agg(F.min("doc_id").alias("low"), F.first("marks").alias("marks"))
-        .withColumn("node", F.monotonically_increasing_id()),
-        "nd-classes",
-    )
-    posted = classes.select("node", "n", F.posexplode("marks").alias("at", "mark")).select("node", "n", F.xxhash64("at", "mark").alias("entry"))
-    lists = posted.groupBy("entry").agg(F.count(F.lit(1)).alias("long")).where("long > 1")
-    shared = posted.join(lists, "entry")
-    many = shared.groupBy("node").agg(F.count(F.lit(1)).alias("hits")).where(F.col("hits") >= matches)
-    shared = stash(shared.join(many, "node"), "nd-shared")
-
-    # Stars: the most shared class of a list is the partner of the others.
-    centre = shared.groupBy("entry").agg(F.max(F.struct("hits", "long", (-F.col("node")).alias("minus"))).alias("top"), F.count(F.lit(1)).alias("left"))
-    centre = centre.where("left > 1").select("entry", (-F.col("top.minus")).alias("centre"))
-    marks = lambda k: classes.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("marks").alias(f"marks_{k}"))
-    collisions = F.aggregate(F.zip_with("marks_a", "marks_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-
-    def matched(pairs: DataFrame) -> DataFrame:
-        return pairs.join(marks("a"), "a").join(marks("b"), "b").where(_sizes_fit(percent) & (collisions >= matches)).select("a", "b")
-
-    stars = shared.join(centre, "entry").where("node != centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
-    sets = stash(_full_sets(docs, classes.join(many.select("node"), "node"), width), "nd-sets")
-    confirm = lambda pairs: _confirmed(matched(pairs), sets, percent)
-    roots = linked(_prefixes(shared, coordinates, matches), lambda nodes: sets.join(nodes, "node"), stash(confirm(stars), "nd-stars"), confirm, percent)
+    with passing(docs.sparkSession) as keep:
+        rows = stash(_sketches(docs, width, coordinates), "nd-sketches")
+        key = ["n", "set_a", "set_b"]
+        classes = stash(
+            rows.where("n > 0")
+            .groupBy(*key)
+            .agg(F.min("doc_id").alias("low"), F.first("marks").alias("marks"))
+            .withColumn("node", F.monotonically_increasing_id()),
+            "nd-classes",
+        )
+        posted = classes.select("node", "n", F.posexplode("marks").alias("at", "mark")).select("node", "n", F.xxhash64("at", "mark").alias("entry"))
+        lists = posted.groupBy("entry").agg(F.count(F.lit(1)).alias("long")).where("long > 1")
+        shared = posted.join(lists, "entry")
+        many = shared.groupBy("node").agg(F.count(F.lit(1)).alias("hits")).where(F.col("hits") >= matches)
+        shared = stash(shared.join(many, "node"), "nd-shared")
+
+        # Stars: the most shared class of a list is the partner of the others.
+        centre = shared.groupBy("entry").agg(F.max(F.struct("hits", "long", (-F.col("node")).alias("minus"))).alias("top"), F.count(F.lit(1)).alias("left"))
+        centre = centre.where("left > 1").select("entry", (-F.col("top.minus")).alias("centre"))
+        marks = lambda k: classes.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("marks").alias(f"marks_{k}"))
+        collisions = F.aggregate(F.zip_with("marks_a", "marks_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+
+        def matched(pairs: DataFrame) -> DataFrame:
+            return pairs.join(marks("a"), "a").join(marks("b"), "b").where(_sizes_fit(percent) & (collisions >= matches)).select("a", "b")
+
+        stars = shared.join(centre, "entry").where("node != centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+        sets = stash(_full_sets(docs, classes.join(many.select("node"), "node"), width), "nd-sets")
+        confirm = lambda pairs: _confirmed(matched(pairs), sets, percent)
+        links = stash(confirm(stars), "nd-stars")
+        sets_of = lambda nodes: sets.join(nodes, "node")
+        roots = linked(_prefixes(shared, coordinates, matches), sets_of, links, confirm, percent, [lambda ready: _fewest_own(ready, sets_of)])
+        keep(rows, classes, roots)
 
     named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("low").alias("component_id"))
@@ -138,18 +142,20 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     Rows with an empty set link with nothing and stay. Of rows that repeat id and text, the first by the rest of their
     columns stays.
     """
-    found = near_duplicates(keyed(docs), **options).where("n_shingles > 0")
-    found = found.groupBy(F.col("doc_id").alias("key"), F.col("component_id").alias("component")).agg(F.count(F.lit(1)).alias("rows"))
-    found = stash(found, "nd-keys")
-    groups = found.groupBy(F.col("component").alias("of")).agg(F.sum("rows").alias("all")).where(F.col("all") > 1).select("of")
-    grouped = stash(found.join(groups, F.col("component") == F.col("of"), "left_semi"), "nd-groups")
-    wanted = small(grouped.select(F.col("key").alias("_wanted")))
-    ids = docs.select(row_key().alias("own_key"), "doc_id").join(wanted, F.col("own_key") == F.col("_wanted"), "left_semi")
-    ids = ids.groupBy("own_key").agg(F.min("doc_id").alias("doc_id"))
-    known = grouped.join(ids, F.col("key") == F.col("own_key")).select("component", "key", "doc_id", "rows")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")).alias("first")
-    first = known.groupBy(F.col("component").alias("of")).agg(first).select("of", F.col("first.key").alias("stays"))
-    known = stash(known.join(first, F.col("component") == F.col("of")), "nd-known")
+    with passing(docs.sparkSession) as keep:
+        found = near_duplicates(keyed(docs), **options).where("n_shingles > 0")
+        found = found.groupBy(F.col("doc_id").alias("key"), F.col("component_id").alias("component")).agg(F.count(F.lit(1)).alias("rows"))
+        found = stash(found, "nd-keys")
+        groups = found.groupBy(F.col("component").alias("of")).agg(F.sum("rows").alias("all")).where(F.col("all") > 1).select("of")
+        grouped = stash(found.join(groups, F.col("component") == F.col("of"), "left_semi"), "nd-groups")
+        wanted = small(grouped.select(F.col("key").alias("_wanted")))
+        ids = docs.select(row_key().alias("own_key"), "doc_id").join(wanted, F.col("own_key") == F.col("_wanted"), "left_semi")
+        ids = ids.groupBy("own_key").agg(F.min("doc_id").alias("doc_id"))
+        known = grouped.join(ids, F.col("key") == F.col("own_key")).select("component", "key", "doc_id", "rows")
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")).alias("first")
+        first = known.groupBy(F.col("component").alias("of")).agg(first).select("of", F.col("first.key").alias("stays"))
+        known = stash(known.join(first, F.col("component") == F.col("of")), "nd-known")
+        keep(known)
     left = without(docs, known.where("key != stays").select("key"))
     again = known.where("key = stays AND rows > 1").select("key")
     if again.isEmpty():
@@ -171,42 +177,78 @@ def _several(entries: DataFrame, roots: DataFrame) -> DataFrame:
     return apart.join(lists, "entry")
 
 
-def linked(entries: DataFrame, sets_of: Callable[[DataFrame], DataFrame], links: DataFrame, confirm: Callable[[DataFrame], DataFrame], percent: int, short: int = 0) -> DataFrame:
+def linked(
+    entries: DataFrame,
+    sets_of: Callable[[DataFrame], DataFrame] | None,
+    links: DataFrame,
+    confirm: Callable[[DataFrame], DataFrame],
+    percent: int,
+    partners: Sequence[Callable[[DataFrame], DataFrame]],
+    candidates: Callable[[DataFrame], DataFrame] | None = None,
+    rarest: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """node, root of every linked node: ``links`` (a, b) and all links between nodes that share an entry.
 
     ``entries`` holds entry and node; ``sets_of`` returns node, n and shingles of nodes (and their other columns);
-    ``confirm`` returns the links among pairs (a, b). Lists of up to ``short`` entries are taken pair by pair; the
-    others are never expanded.
+    ``confirm`` returns the links among pairs (a, b). Lists that hold several components after ``links`` are handed to
+    each of ``partners`` in turn, with the root of each node, which returns a few pairs for each row. What still holds
+    several components then is joined by rarest shingles. With ``candidates`` all this is for the lists that ``entries``
+    says are ``many``: of the others it returns the pairs (a, b, low and high root, met) of different components. One
+    pair of every two components, that which has most in common, is confirmed before the rest. ``rarest`` may do for
+    nodes (and their roots) what ``_rarest`` does for their sets.
     """
-    prefix = _several(entries, components(links)).select("entry", "node", "root")
-    if short:
-        lengths = prefix.groupBy("entry").agg(F.count(F.lit(1)).alias("length"))
-        several = stash(prefix.join(lengths, "entry"), "nd-several")
-        x, y = (several.where(F.col("length") <= short).select("entry", F.col("node").alias(k), F.col("root").alias(f"root_{k}")) for k in "ab")
-        pairs = x.join(y, "entry").where("a < b AND root_a != root_b").select("a", "b").distinct()
-        links = stash(links.unionByName(confirm(pairs)), "nd-short")
-        prefix = several.where(F.col("length") > short)
-    prefix = stash(prefix.select("entry", "node"), "nd-prefix")
-    open_sets = sets_of(prefix.select("node").distinct())
-    single = open_sets.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle")
+    with passing(entries.sparkSession) as keep:
+        ready = stash(_several(entries, components(links)), "nd-open")
+        for propose in partners:
+            if candidates and ready.where("many").isEmpty():
+                break
+            links = stash(links.unionByName(confirm(propose(ready))), "nd-links")
+            ready = stash(_several(ready.drop("root"), components(links)), "nd-apart")
+        apart = ready.where("many") if candidates else ready
+        apart = stash(apart.select("node", "root").distinct(), "nd-nodes")
+        pairs = None
+        if not candidates or not apart.isEmpty():
+            rare = rarest(apart) if rarest else _rarest(sets_of(apart), percent)
+            pairs = _rare_pairs(stash(rare, "nd-rarest"), percent)
+        if candidates:
+            short = candidates(ready.where("not many"))
+            pairs = short if pairs is None else pairs.unionByName(short)
+        pairs = pairs.groupBy("a", "b", "low", "high").agg(F.max("met").alias("met"))
+        pairs = stash(pairs, "nd-pairs")
+        best = pairs.groupBy("low", "high").agg(F.max(F.struct("met", "a", "b")).alias("best")).select("best.a", "best.b")
+        links = stash(links.unionByName(confirm(best)), "nd-best")
+        rest = pairs.join(best, ["a", "b"], "left_anti").select("a", "b")
+        ends = components(links)
+        now = ends.select(F.col("node").alias("was"), F.col("root").alias("now"))
+        root = lambda k: F.coalesce("now", k)
+        rest = rest.join(now, F.col("a") == F.col("was"), "left").select("a", "b", root("a").alias("root_a"))
+        rest = rest.join(now, F.col("b") == F.col("was"), "left").select("a", "b", "root_a", root("b").alias("root_b"))
+        more = stash(confirm(rest.where("root_a != root_b").select("a", "b")), "nd-more")
+        roots = ends if more.isEmpty() else components(links.unionByName(more))
+        keep(roots)
+    return roots
+
+
+def _rare_pairs(rare: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different roots that share rare shingles (of ``_rarest``) and may reach the threshold, with the
+    roots and how many of these shingles they share."""
+    x, y = (rare.select("shingle", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "n", "root", "at"))) for k in "ab")
+    reach = _similar(F.col("n_a"), F.col("n_b"), F.least(F.col("n_a") - F.col("at_a") + 1, F.col("n_b") - F.col("at_b") + 1), percent)
+    others = (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b"))
+    pairs = x.join(y, (x["shingle"] == y["shingle"]) & others & _sizes_fit(percent) & reach)
+    both = (F.least("root_a", "root_b").alias("low"), F.greatest("root_a", "root_b").alias("high"))
+    return pairs.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b"), *both).agg(F.count(F.lit(1)).alias("met"))
+
+
+def _fewest_own(ready: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Each list's class with the fewest shingles of its own, as an original is of its copies, as partner of the others."""
+    single = sets_of(ready.select("node").distinct()).select("node", F.explode("shingles").alias("shingle")).groupBy("shingle")
     single = single.agg(F.count(F.lit(1)).alias("in"), F.min("node").alias("node")).where("in = 1")
     own = single.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
-
-    # Stars once more: now the class with the fewest shingles of its own is the partner, as an original is of its copies.
-    ready = stash(prefix.join(own, "node", "left").select("entry", "node", (-F.coalesce("own", F.lit(0))).alias("shared")), "nd-ready")
+    ready = stash(ready.join(own, "node", "left").select("entry", "node", (-F.coalesce("own", F.lit(0))).alias("shared")), "nd-ready")
     partner = ready.groupBy("entry").agg(F.max(F.struct("shared", (-F.col("node")).alias("minus"))).alias("top"))
     partner = partner.select("entry", (-F.col("top.minus")).alias("centre"))
-    stars = ready.join(partner, "entry").where("node != centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
-    links = stash(links.unionByName(confirm(stars)), "nd-links")
-    nodes = stash(_several(ready, components(links)).select("node", "root").distinct(), "nd-apart")
-
-    rare = stash(_rarest(sets_of(nodes), percent), "nd-rarest")
-    x, y = (rare.select("shingle", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "n", "root", "at"))) for k in "ab")
-    reach = _similar(F.col("n_a"), F.col("n_b"), F.least(F.col("n_a") - F.col("at_a") + 1, F.col("n_b") - F.col("at_b") + 1), percent)
-    apart = (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b"))
-    pairs = x.join(y, (x["shingle"] == y["shingle"]) & apart & _sizes_fit(percent) & reach)
-    pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-    return components(links.unionByName(confirm(pairs)))
+    return ready.join(partner, "entry").where("node != centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
 
 
 def _prefixes(shared: DataFrame, coordinates: int, matches: int) -> DataFrame:
@@ -235,6 +277,7 @@ def _full_sets(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
     """node, n, shingles of ``classes``, computed anew from the text of each class's least document."""
     wanted = small(classes.select("low").distinct())
     found = _sketches(docs.join(wanted, docs["doc_id"].eqNullSafe(F.col("low")), "left_semi"), width, None)
-    found = found.select("doc_id", *(F.col(c).alias(f"f_{c}") for c in ("n", "set_a", "set_b")), F.col("marks").alias("shingles"))
-    same = [F.col(c) == F.col(f"f_{c}") for c in ("n", "set_a", "set_b")] + [F.col("low").eqNullSafe(F.col("doc_id"))]
+    # One of each set: rows that repeat an id and a text would pair with one another's partners.
+    found = found.groupBy(*(F.col(c).alias(f"f_{c}") for c in ("n", "set_a", "set_b"))).agg(F.first("marks").alias("shingles"))
+    same = [F.col(c) == F.col(f"f_{c}") for c in ("n", "set_a", "set_b")]
     return classes.join(found, same).select("node", "n", "shingles")

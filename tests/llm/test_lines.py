@@ -1,6 +1,9 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
+import pyarrow as pa
+
+from tallgrass.llm import lines
 from tallgrass.llm.lines import fuzzy_lines, without_fuzzy_lines
 
 
@@ -53,3 +56,33 @@ def test_texts_and_repeated_rows(spark, make_docs):
     found = without_fuzzy_lines(make_docs(docs)).collect()
     assert sorted(map(tuple, found), key=str) == sorted([(1, "same line here\nother"), (2, "\nlast"), (2, "\nlast"), (3, None)], key=str)
     assert fuzzy_lines(make_docs([])).collect() == []
+
+
+def test_rarest_shingles_first():
+    """Of the sets of some lines, each line's first shingles by rarity, with their places."""
+    texts = ["abcdefghij klmnop", "abcdefghij klmnoq", "abcdefghij xxxxxxx", "other words than these"]
+    batch = pa.RecordBatch.from_pydict({"node": pa.array(range(4), pa.int64()), "characters": texts})
+    counted = lines._counted(1)(lines._occurrences(7, 1)([batch]))
+    found = lines._rarest_first(80)([b for x in counted for b in x.column(1).to_pylist()]).to_pylist()
+    sets = [{t[k : k + 7] for k in range(len(t) - 6)} for t in texts]
+    often = Counter(x for s in sets for x in s)
+    for node, own in enumerate(sets):
+        alone = sum(often[x] == 1 for x in own)
+        prefix = len(own) - -(-len(own) * 80 // 100) + 1
+        rows = [r for r in found if r["node"] == node]
+        assert len(rows) == max(0, min(prefix, len(own)) - alone) and all(r["n"] == len(own) for r in rows)
+        assert sorted(r["at"] for r in rows) == list(range(alone + 1, alone + 1 + len(rows)))
+
+
+def test_long_and_hot_lists(spark, make_docs, prose):
+    """Lines of which a hundred and more share band values, in lists that are dealt out as well, lose no link."""
+    rng = random.Random(9)
+    base, docs = prose(5, 40), []
+    for k in range(260):
+        line = list(base)
+        for _ in range(rng.randint(0, 6)):
+            line[rng.randrange(len(line))] = rng.choice("xyz")
+        docs.append((k, "".join(line) + "\n" + prose(1000 + k // 3, 8)))
+    order = lambda r: tuple((x is None, x or 0) for x in r)
+    for frame in (make_docs(docs).coalesce(1), make_docs(docs).repartition(7)):
+        assert sorted(map(tuple, fuzzy_lines(frame).collect()), key=order) == sorted(brute(docs), key=order)
