@@ -99,6 +99,40 @@ n AS (SELECT item_id, count(*) AS n_shingles FROM b GROUP BY item_id)
 SELECT d.doc_id, b.item_id, n.n_shingles, count(*) AS n_shared, count(*) / n.n_shingles AS containment
 FROM d JOIN b ON d.s = b.s JOIN n ON b.item_id = n.item_id
 GROUP BY d.doc_id, b.item_id, n.n_shingles HAVING count(*) * 100 >= n.n_shingles * 80
+""",
+    "op7_fuzzy_lines": r"""
+WITH RECURSIVE t AS (SELECT doc_id, string_split(text, chr(10)) AS own FROM documents WHERE text IS NOT NULL),
+l AS (SELECT doc_id, unnest(range(len(own))) AS line, unnest(own) AS s FROM t),
+v AS (SELECT doc_id, line::BIGINT AS line, s FROM l WHERE regexp_matches(s, '[^\x00-\x20]')),
+c AS (SELECT s, row_number() OVER (ORDER BY s) AS id FROM (SELECT DISTINCT s FROM v)),
+g AS (SELECT id, list_distinct(list_transform(range(1, greatest(length(s) - 6, 1) + 1), lambda i: substring(s, i, 7))) AS sh FROM c),
+e AS (SELECT id, len(sh) AS n, unnest(sh) AS h FROM g),
+o AS (SELECT h, count(*) AS often FROM e GROUP BY h),
+k AS (SELECT id, n, h, row_number() OVER (PARTITION BY id ORDER BY often, h) AS place FROM e JOIN o USING (h)),
+f AS (SELECT id, n, h FROM k WHERE place <= n - ceil(n * 80 / 100) + 1),
+q AS (SELECT DISTINCT x.id AS a, y.id AS b FROM f x JOIN f y ON x.h = y.h AND x.id < y.id AND x.n * 100 >= 80 * y.n AND y.n * 100 >= 80 * x.n),
+p AS (SELECT a, b FROM (SELECT a, b, len(list_intersect(x.sh, y.sh)) AS shared, len(x.sh) + len(y.sh) AS total FROM q JOIN g x ON x.id = a JOIN g y ON y.id = b)
+      WHERE shared * 100 >= 80 * (total - shared)),
+r AS (SELECT id AS v, id AS u FROM c UNION SELECT r.v, z.b FROM r JOIN (SELECT a, b FROM p UNION ALL SELECT b, a FROM p) z ON r.u = z.a),
+m AS (SELECT v AS id, min(u) AS root FROM r GROUP BY v),
+w AS (SELECT doc_id, line, root FROM v JOIN c USING (s) JOIN m USING (id)),
+d AS (SELECT root, doc_id AS first_doc_id, line AS first_line FROM w QUALIFY row_number() OVER (PARTITION BY root ORDER BY doc_id NULLS LAST, line) = 1)
+SELECT doc_id, line, first_doc_id, first_line, (doc_id IS NOT DISTINCT FROM first_doc_id AND line = first_line) AS kept
+FROM w JOIN d USING (root)
+""",
+    "op8_suffix_array_dedup": r"""
+WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+c AS (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99, 250)) AS a FROM b),
+v AS (SELECT doc_id, a, substring(h, 2 * a + 1, 698) AS piece, unnest(range(least(250, len(h) // 2 - 99 - a))) AS j FROM c),
+m AS (SELECT doc_id, i FROM (SELECT doc_id, a + j AS i, row_number() OVER (PARTITION BY substring(piece, 2 * j + 1, 200) ORDER BY doc_id NULLS FIRST, a + j) AS nth FROM v) WHERE nth > 1),
+s AS (SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 100, true) AS fresh FROM m),
+r AS (SELECT doc_id, i, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM s),
+p AS (SELECT doc_id, min(i) AS x, max(i) + 100 AS y FROM r GROUP BY doc_id, run),
+k AS (SELECT doc_id, x, y, coalesce(lag(y) OVER (PARTITION BY doc_id ORDER BY x), 0) AS z FROM p),
+g AS (SELECT k.doc_id, count(*) AS n_spans, sum(y - x) AS n_removed, string_agg(substring(h, 2 * z + 1, 2 * (x - z)), '' ORDER BY x) || substring(any_value(h), 2 * max(y) + 1) AS kept
+      FROM k JOIN b ON k.doc_id IS NOT DISTINCT FROM b.doc_id GROUP BY k.doc_id)
+SELECT b.doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM b LEFT JOIN g ON b.doc_id IS NOT DISTINCT FROM g.doc_id
 """,
     "op9_minhash_near_dups": r"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text,''),'ABCDEFGHIJKLMNOPQRSTUVWXYZ','abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
