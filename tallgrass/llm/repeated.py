@@ -12,17 +12,19 @@ equal anchor strings. Then
   names are ranked recursively (as deep as ``length`` bytes need), the remaining suffixes are merged, and adjacent
   prefixes of ``length`` bytes are compared byte by byte.
 
-Whole copies of an earlier document are found first by two hashes and their length; they repeat it entirely.
+Whole copies of an earlier document are found first by their SHA-256; they repeat it entirely.
 
 Defined cases: null text is empty; texts shorter than ``length`` keep all bytes; rows with one id and one text are
 one document and all keep what the first keeps, rows with one id and different texts are ordered by a hash of the
 text; a null id comes before all others; an empty table gives an empty result; only doc_id and text are read. Equal
-names are equal 64-bit hashes among runs whose anchor strings have equal 64-bit hashes.
+names are equal 64-bit hashes of all bytes among runs whose anchor strings have equal 64-bit hashes, under numbers that
+are drawn anew for every call, so that nobody can prepare texts that share a name.
 """
 
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +35,7 @@ from pyspark.sql.window import Window
 
 from tallgrass.llm.shingles import chunks, utf8
 from tallgrass.llm.suffixes import anchors, repeats
-from tallgrass.plans.durable import stash
+from tallgrass.plans.durable import passing, stash
 from tallgrass.plans.workers import tidy
 
 #: Bytes of runs that are sorted at once, about; the runs of one anchor string stay together.
@@ -61,12 +63,12 @@ def _again(doc: np.ndarray, sign: np.ndarray, place: np.ndarray, string: np.ndar
     return again
 
 
-def _runs(length: int):
+def _runs(length: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column(2))
             for a, b in chunks(offsets):
-                text, first, last, anchor, string, whole = anchors(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], length, length * 2 // 5)
+                text, first, last, anchor, string, whole = anchors(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], length, length * 2 // 5, seed)
                 of = pa.array(text + a)
                 place = first << 14 | (last - first)
                 string, whole = string.view(np.int64), whole.view(np.int64)
@@ -184,43 +186,46 @@ def repeated_spans(docs: DataFrame, length: int = 100) -> DataFrame:
 
     Rows without a run are left out.
     """
-    signed = _signed(docs)
-    key = [F.xxhash64("text", F.lit(1)).alias("more"), F.octet_length("text").alias("n")]
-    same = stash(signed.select("doc_id", "sign", *key).where(F.col("n") >= length), "rs-signs")
-    many = same.groupBy("sign", "more", "n").agg(F.min("doc_id").alias("low"), F.max(F.col("doc_id").isNull().cast("int")).alias("unnamed"), F.max("doc_id").alias("high"))
-    many = many.where((F.col("low") != F.col("high")) | (F.col("unnamed") == 1) & F.col("low").isNotNull())
-    first = F.when(F.col("unnamed") == 1, F.lit(None).cast("long")).otherwise(F.col("low"))
-    copies = same.join(many, ["sign", "more", "n"]).where(~F.col("doc_id").eqNullSafe(first))
-    copies = stash(copies.select("doc_id", "sign", "n").distinct(), "rs-copies")
-    # An id with a whole copy may have other texts too: these are told apart by their hash again.
-    own = signed.join(_sent(copies.select(F.col("doc_id").alias("c_id"), F.col("sign").alias("c_sign")), F.lit(32)), F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("sign") == F.col("c_sign")), "left_anti")
-
-    # Runs known to repeat another of their own batch need no comparison and are dealt out by their place, so that a
-    # string of a third of all documents sends few rows to its task.
-    dealt = F.when(F.col("again"), F.xxhash64("doc_id", "sign", "place")).otherwise(F.col("string"))
-    by_string = Window.partitionBy("dealt", "again")
-    by_name = Window.partitionBy("dealt", "again", "whole").orderBy("doc_id", "sign", "place")
-    runs = own.mapInArrow(tidy(_runs(length)), _RUNS).withColumn("dealt", dealt).repartition("dealt")
-    found = (
-        runs.withColumns({"rows": F.count(F.lit(1)).over(by_string), "w0": F.min("whole").over(by_string), "w1": F.max("whole").over(by_string)})
-        .where("rows > 1 OR again")
-        .withColumn("nth", F.dense_rank().over(by_name))
-        .where("w0 != w1 OR nth > 1 OR again")
-        .select("doc_id", "sign", "place", F.when((F.col("nth") == 1) & ~F.col("again"), F.col("string")).alias("string"))
-    )
-    found = stash(found, "rs-runs")
-    opened = found.where("string IS NOT NULL").groupBy("doc_id", "sign").agg(F.collect_set(F.struct("place", "string")).alias("open"))
-    opened = stash(opened.withColumnsRenamed({"doc_id": "o_id", "sign": "o_sign"}), "rs-open")
-    texts = own.join(_sent(opened, F.size("open") * 16 + 64), F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col("sign") == F.col("o_sign")))
-    contexts = texts.select("doc_id", "sign", "text", "open").mapInArrow(tidy(_contexts(length)), "string long, doc_id long, sign long, place long, bytes binary")
-    ordered = contexts.repartition("string").sortWithinPartitions("string", "doc_id", "sign", "place")
-    span = "doc_id long, sign long, begin long, end long"
-    windows = ordered.mapInArrow(tidy(_sorted(length)), span)
-    start = F.shiftright("place", 14)
-    whole = found.where("string IS NULL").select("doc_id", "sign", start.alias("begin"), (start + F.col("place").bitwiseAND(F.lit(16383)) + length).alias("end"))
-    copied = copies.select("doc_id", "sign", F.lit(0).cast("long").alias("begin"), F.col("n").cast("long").alias("end"))
-    spans = windows.unionByName(whole).unionByName(copied).groupBy("doc_id", "sign").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
-    return stash(spans.mapInArrow(_merge, "doc_id long, sign long, begins array<long>, ends array<long>"), "rs-spans")
+    with passing(docs.sparkSession) as keep:
+        signed = _signed(docs)
+        key = [F.unhex(F.sha2("text", 256)).alias("more"), F.octet_length("text").alias("n")]
+        same = stash(signed.select("doc_id", "sign", *key).where(F.col("n") >= length), "rs-signs")
+        many = same.groupBy("more").agg(F.min("doc_id").alias("low"), F.max(F.col("doc_id").isNull().cast("int")).alias("unnamed"), F.max("doc_id").alias("high"))
+        many = many.where((F.col("low") != F.col("high")) | (F.col("unnamed") == 1) & F.col("low").isNotNull())
+        first = F.when(F.col("unnamed") == 1, F.lit(None).cast("long")).otherwise(F.col("low"))
+        copies = same.join(many, "more").where(~F.col("doc_id").eqNullSafe(first))
+        copies = stash(copies.select("doc_id", "sign", "n").distinct(), "rs-copies")
+        # An id with a whole copy may have other texts too: these are told apart by their hash again.
+        own = signed.join(_sent(copies.select(F.col("doc_id").alias("c_id"), F.col("sign").alias("c_sign")), F.lit(32)), F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("sign") == F.col("c_sign")), "left_anti")
+
+        # Runs known to repeat another of their own batch need no comparison and are dealt out by their place, so that a
+        # string of a third of all documents sends few rows to its task.
+        dealt = F.when(F.col("again"), F.xxhash64("doc_id", "sign", "place")).otherwise(F.col("string"))
+        by_string = Window.partitionBy("dealt", "again")
+        by_name = Window.partitionBy("dealt", "again", "whole").orderBy("doc_id", "sign", "place")
+        runs = own.mapInArrow(tidy(_runs(length, int.from_bytes(os.urandom(7)))), _RUNS).withColumn("dealt", dealt).repartition("dealt")
+        found = (
+            runs.withColumns({"rows": F.count(F.lit(1)).over(by_string), "w0": F.min("whole").over(by_string), "w1": F.max("whole").over(by_string)})
+            .where("rows > 1 OR again")
+            .withColumn("nth", F.dense_rank().over(by_name))
+            .where("w0 != w1 OR nth > 1 OR again")
+            .select("doc_id", "sign", "place", F.when((F.col("nth") == 1) & ~F.col("again"), F.col("string")).alias("string"))
+        )
+        found = stash(found, "rs-runs")
+        opened = found.where("string IS NOT NULL").groupBy("doc_id", "sign").agg(F.collect_set(F.struct("place", "string")).alias("open"))
+        opened = stash(opened.withColumnsRenamed({"doc_id": "o_id", "sign": "o_sign"}), "rs-open")
+        texts = own.join(_sent(opened, F.size("open") * 16 + 64), F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col("sign") == F.col("o_sign")))
+        contexts = texts.select("doc_id", "sign", "text", "open").mapInArrow(tidy(_contexts(length)), "string long, doc_id long, sign long, place long, bytes binary")
+        ordered = contexts.repartition("string").sortWithinPartitions("string", "doc_id", "sign", "place")
+        span = "doc_id long, sign long, begin long, end long"
+        windows = ordered.mapInArrow(tidy(_sorted(length)), span)
+        start = F.shiftright("place", 14)
+        whole = found.where("string IS NULL").select("doc_id", "sign", start.alias("begin"), (start + F.col("place").bitwiseAND(F.lit(16383)) + length).alias("end"))
+        copied = copies.select("doc_id", "sign", F.lit(0).cast("long").alias("begin"), F.col("n").cast("long").alias("end"))
+        spans = windows.unionByName(whole).unionByName(copied).groupBy("doc_id", "sign").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+        merged = stash(spans.mapInArrow(_merge, "doc_id long, sign long, begins array<long>, ends array<long>"), "rs-spans")
+        keep(merged)
+    return merged
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

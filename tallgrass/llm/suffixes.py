@@ -4,9 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_BYTE = np.random.default_rng(23).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
@@ -16,13 +14,15 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 class Prefixes:
-    """Hashes of any substring of ``data`` by its prefix sums."""
+    """Hashes of any substring of ``data`` by its prefix sums; ``seed`` gives each byte's number and the base."""
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, seed: int = 23):
         n = len(data)
+        drawn = np.random.default_rng(seed).integers(0, 1 << 63, 257, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        numbers, base = drawn[:256], drawn[256]
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[data] * _powers(_BASE, n), out=self.sums[1:])
-        self.scale = _powers(_INVERSE, n + 1)
+        np.cumsum(numbers[data] * _powers(base, n), out=self.sums[1:])
+        self.scale = _powers(np.uint64(pow(int(base), -1, 1 << 64)), n + 1)
 
     def of(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         x = (self.sums[end] - self.sums[begin]) * self.scale[begin]
@@ -41,7 +41,7 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, length: int, size: int) -> tuple[np.ndarray, ...]:
+def anchors(data: np.ndarray, offsets: np.ndarray, length: int, size: int, seed: int = 23) -> tuple[np.ndarray, ...]:
     """The windows of ``length`` bytes of all texts, put together by anchor.
 
     The anchor of a window is that of its ``size``-byte strings with the least hash, the first of equal ones; it depends
@@ -52,7 +52,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, size: int) -> tu
     none = tuple(np.zeros(0, t) for t in (np.int64,) * 4 + (np.uint64,) * 2)
     if len(data) < length:
         return none
-    prefixes = Prefixes(data)
+    prefixes = Prefixes(data, seed)
     begin = np.arange(len(data) - size + 1)
     strings = prefixes.of(begin, begin + size)
     bits = np.uint64(max(1, int(len(data)).bit_length()))
@@ -68,7 +68,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, size: int) -> tu
     last = places[np.append(np.flatnonzero(new)[1:] - 1, len(places) - 1)]
     anchor = at[new]
     text = np.searchsorted(offsets, first, "right") - 1
-    whole = prefixes.of(first, last + length) + (anchor - first).astype(np.uint64) * _BASE + (last - first).astype(np.uint64)
+    whole = prefixes.of(first, last + length) + (anchor - first).astype(np.uint64) * _STEP + (last - first).astype(np.uint64)
     return text, first - offsets[text], last - offsets[text], anchor - offsets[text], strings[anchor], whole
 
 

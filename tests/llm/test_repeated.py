@@ -94,3 +94,24 @@ def test_repeated_rows_with_open_runs(spark, make_docs, prose):
         assert len(found) == 6 and expected[first][1] == 0 and expected[7][1] > 0
         for r in found:
             assert tuple(r)[1:] == expected[r.doc_id], r.doc_id
+
+
+def test_other_numbers_give_the_same_windows():
+    """Whatever numbers are drawn, equal windows of two texts have anchors at one distance and equal names."""
+    rng = np.random.default_rng(8)
+    data = rng.integers(97, 123, 900).astype(np.uint8)
+    data[500:700] = data[100:300]
+    for seed in (1, 2, 3):
+        text, first, last, anchor, string, whole = anchors(data, np.array([0, 450, 900]), 100, 40, seed)
+        inside = lambda t, a, b: {(x - a, y - a, s, w) for k, x, y, s, w in zip(text, first, last, string, whole) if k == t and x > a and y < b}
+        assert inside(0, 100, 200) == inside(1, 50, 150) != set()
+
+
+def test_a_copy_of_the_case_that_lost_bytes(spark, make_docs, prose):
+    """Rows 5, 5 and 6, or 5, 6 and 6, with one passage in common: the first document keeps all its bytes."""
+    shared = prose(11, 70)
+    five, six = (5, prose(12, 30) + shared + prose(13, 30)), (6, prose(14, 30) + shared + prose(15, 30))
+    alone = {r.doc_id: r.n_removed for r in remove_repeats(make_docs([five, six])).collect()}
+    assert alone[5] == 0 < alone[6]
+    for rows in ([five, five, six], [five, six, six]):
+        assert all(r.n_removed == alone[r.doc_id] for r in remove_repeats(make_docs(rows)).collect())
